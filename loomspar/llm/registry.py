@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from loomspar.llm import lm_scoring, substring_dedup
+from loomspar.llm import decontamination, lm_scoring, quality_rules, substring_dedup
 
 QUERIES = {
+    "op3_quality_rules": quality_rules.query,
     "op4_substring_dedup": substring_dedup.query,
     "op7_lm_scoring": lm_scoring.query,
+    "op9_decontamination": decontamination.query,
 }
-SQL = {"op4_substring_dedup": substring_dedup.SQL}
+SQL = {"op4_substring_dedup": substring_dedup.SQL, "op9_decontamination": decontamination.SQL}
