@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from loomspar.llm import decontamination, lm_scoring, quality_rules, substring_dedup
+from loomspar.llm import decontamination, lm_scoring, mixing, quality_rules, sharding, substring_dedup
 
 QUERIES = {
     "op3_quality_rules": quality_rules.query,
     "op4_substring_dedup": substring_dedup.query,
+    "op6_mixing": mixing.query,
     "op7_lm_scoring": lm_scoring.query,
+    "op8_sharding": sharding.query,
     "op9_decontamination": decontamination.query,
 }
 SQL = {"op4_substring_dedup": substring_dedup.SQL, "op9_decontamination": decontamination.SQL}
