@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loomspar.llm import decontamination, lm_scoring, mixing, quality_rules, sharding, substring_dedup
+from loomspar.llm import decontamination, lm_scoring, mixing, ngram_join, quality_rules, sharding, substring_dedup
 
 QUERIES = {
+    "op2_ngram_join": ngram_join.query,
     "op3_quality_rules": quality_rules.query,
     "op4_substring_dedup": substring_dedup.query,
     "op6_mixing": mixing.query,
@@ -12,4 +13,4 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_decontamination": decontamination.query,
 }
-SQL = {"op4_substring_dedup": substring_dedup.SQL, "op9_decontamination": decontamination.SQL}
+SQL = {"op2_ngram_join": ngram_join.SQL, "op4_substring_dedup": substring_dedup.SQL, "op9_decontamination": decontamination.SQL}
