@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,3 +18,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """A new folder for tables that one run writes and reads again, beside the checkpoints."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stages-{uuid.uuid4().hex}"

@@ -17,8 +17,8 @@
 Set equality and overlap are those of 64-bit shingle hashes. Signatures only prune; no candidate is dropped otherwise.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is linked with nothing; a text with fewer
-words than a shingle is one shingle, unequal to those of other lengths; null ids are never a component's name unless no
-other id is there; repeated rows are one class; other columns are ignored by links().
+words than a shingle is one shingle, unequal to those of other lengths; null ids never name a component
+that has another id; repeated rows are one class; other columns are ignored by links().
 """
 
 from __future__ import annotations
@@ -447,12 +447,12 @@ def group(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
 
 
 def keep_one(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs' rows, one of each group: that of its smallest id (of rows with one id, any one)."""
-    found = group(docs, rule, id_col, text_col).where("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("kept_id"))
+    """docs' rows, one of each group: that of its smallest id (of rows with one id, any one). Rows without id stay."""
     name = free_name(docs, "kept_id")
-    first = docs.dropDuplicates([id_col])
-    found = found.dropDuplicates(["kept_id"]).withColumnRenamed("kept_id", name)
-    return first.join(found, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+    named = docs.where(F.col(id_col).isNotNull())
+    found = group(named, rule, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = named.join(found, F.col(id_col) == F.col(name), "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
