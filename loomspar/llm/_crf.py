@@ -55,7 +55,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def train(x: np.ndarray, off: np.ndarray, label: np.ndarray, n_labels: int, steps: int = 150, rate: float = 0.1, l2: float = 1e-4, longest: int = 256) -> Chain:
+def train(x: np.ndarray, off: np.ndarray, label: np.ndarray, n_labels: int, steps: int = 100, rate: float = 0.1, l2: float = 1e-4, longest: int = 32) -> Chain:
     """Maximum likelihood by Adam. Sequences are trained in pieces of at most `longest` items. label: -1 where unknown
     labels leave an item out of the observed side (its sequence is then skipped)."""
     mean, scale = x.mean(0), x.std(0) + 1e-6
