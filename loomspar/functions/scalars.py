@@ -125,8 +125,9 @@ def iso_datetime(c: C) -> Column:
     """Date, minute, second or fraction of a second, with Z or an offset, else UTC. Days that don't exist are null."""
     t = strip(c)
     shape = t.rlike(r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$")
-    colon = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    full = F.when(F.length(t) == 10, t).otherwise(F.when(t.rlike(r"T.*(Z|[+-]\d{2}:?\d{2})$"), colon).otherwise(F.concat(t, F.lit("Z"))))
+    seconds = F.regexp_replace(t, r"^(.{10}T\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
+    zoned = F.regexp_replace(F.regexp_replace(seconds, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"(T[0-9:.]+)$", "$1Z")
+    full = F.when(F.length(t) == 10, t).otherwise(zoned)
     return F.when(shape, _stamp(full.try_cast("timestamp")))
 
 

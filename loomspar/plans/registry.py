@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspar.plans import rules
+from loomspar.plans import lookups, rules, scalars
 
-_MODULES = (rules,)
+_MODULES = (rules, scalars, lookups)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
