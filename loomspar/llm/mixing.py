@@ -96,7 +96,8 @@ def draws(sources: DataFrame) -> DataFrame:
     below = F.coalesce(F.lag("top").over(W.partitionBy("shard").orderBy("rank")), F.lit(0))
     cells = cells.withColumn("low", below).withColumn("n", F.col("top") - F.col("low"))
     cells = cells.withColumn("first", F.coalesce(F.sum("n").over(W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    cells = cells.where("n > 0").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    # A cell becomes up to SHARD_SLOTS rows: deal the few cells out first. Their plan's size says nothing of these rows.
+    cells = cells.where("n > 0").repartition("shard", "rank").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     number = F.col("first") + F.col("k")
     pick = cells.select("shard", (F.col("low") + F.col("k")).alias("slot"), "rank", "n_blocks", number.alias("j")).where(F.col("j") < MAX_PASSES * F.col("n_blocks"))
     turn = F.floor(F.col("j") / F.col("n_blocks"))
@@ -119,7 +120,7 @@ def spans(rows: DataFrame) -> DataFrame:
 def mixed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: for each slot of each shard, the documents' word spans that fill it."""
     rows, sources = placed(docs, id_col, text_col, source_col)
-    return draws(sources).join(spans(rows), ["rank", "block"]).select("shard", "slot", "rank", "block", "id", "start", "end")
+    return draws(sources).hint("merge").join(spans(rows), ["rank", "block"]).select("shard", "slot", "rank", "block", "id", "start", "end")
 
 
 def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -128,7 +129,7 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = cut(rows)
     uses = draws(sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
     # A row that has words is the only such row at its place in the stream.
-    taken = spans(rows).join(uses, ["rank", "block"]).groupBy("rank", "begin").agg(
+    taken = spans(rows).join(uses.hint("merge"), ["rank", "block"]).groupBy("rank", "begin").agg(
         F.sum((F.col("end") - F.col("start")) * F.col("uses")).alias("t"), F.array_sort(F.collect_list(F.struct("start", "end", "uses"))).alias("s")
     )
     out = rows.join(taken, ["rank", "begin"], "left")
