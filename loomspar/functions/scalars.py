@@ -21,12 +21,12 @@ def col(c: C) -> Column:
 
 def strip(c: C) -> Column:
     """Without white space at both ends, by Unicode's notion of it."""
-    return F.regexp_replace(col(c), r"(?U)^[\s﻿]+|[\s﻿]+$", "")
+    return F.regexp_replace(col(c), r"(?U)^[\s\uFEFF]+|[\s\uFEFF]+$", "")
 
 
 def strip_invisible(c: C) -> Column:
     """Without zero-width marks; no-break spaces become spaces (as under NFKC)."""
-    return F.regexp_replace(F.translate(col(c), " ", " "), "[​-‍﻿]", "")
+    return F.regexp_replace(F.translate(col(c), "\u00a0", " "), r"[\u200B-\u200D\uFEFF]", "")
 
 
 def normal_name(c: C) -> Column:

@@ -13,7 +13,7 @@ from loomspar.plans.scalars import _pick, _sql_pick, _table
 
 
 def _noisy(k: F.Column, c: F.Column) -> F.Column:
-    return _pick(k, c, F.upper(c), F.concat(F.lit(" "), F.lower(c), F.lit("​ ")), F.concat(F.lit("?"), c), F.lit(" "))
+    return _pick(k, c, F.upper(c), F.concat(F.lit("\u00a0"), F.lower(c), F.lit("\u200b ")), F.concat(F.lit("?"), c), F.lit(" "))
 
 
 def _sql_noisy(k: str, c: str) -> str:

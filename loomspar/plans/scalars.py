@@ -33,7 +33,7 @@ def normalize_field_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sanitize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _table(spark, sf_dir, "documents")
-    noisy = F.concat(F.lit("\t​ "), F.regexp_replace("text", "the", "t‍he"), F.lit("﻿ \n"))
+    noisy = F.concat(F.lit("\t\u200b\u00a0 "), F.regexp_replace("text", "the", "t\u200dhe"), F.lit("\ufeff\u00a0 \n"))
     return d.select("doc_id", S.strip(S.strip_invisible(noisy)).alias("clean"))
 
 
