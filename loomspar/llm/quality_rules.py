@@ -25,6 +25,7 @@ from loomspar.llm._tokens import U, mix, texts_of, windows, words
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 MIN_SHARE = 0.5
 SAMPLE = 1500
+FIT_TEXTS = 50
 BOILERPLATE, CONTENT = 0, 1
 RESULT = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,base_failed:boolean,content_words:long,kept:boolean>"
 
@@ -106,13 +107,19 @@ class Lines:
         ]).astype(np.float64)
 
 
+def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    x = Lines(texts)
+    return x.features, x.off
+
+
 def fit(texts: list[bytes], good: list[bool]) -> Chain | None:
     """The field from whole labelled texts; None without both labels."""
     if len(set(good)) < 2:
         return None
-    x = Lines(texts)
-    label = np.repeat(np.where(good, CONTENT, BOILERPLATE), np.diff(x.off))
-    return train(x.features, x.off, label, 2) if len(set(label.tolist())) == 2 else None
+    parts = [_features(texts[i : i + FIT_TEXTS]) for i in range(0, len(texts), FIT_TEXTS)]  # each needs some 100 times its bytes
+    size = np.concatenate([np.diff(off) for _, off in parts])
+    label = np.repeat(np.where(good, CONTENT, BOILERPLATE), size)
+    return train(np.concatenate([x for x, _ in parts]), np.concatenate(([0], np.cumsum(size))), label, 2) if len(set(label.tolist())) == 2 else None
 
 
 def judge(chain: Chain | None, texts: list[bytes]) -> list[dict]:
