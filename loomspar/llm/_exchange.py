@@ -3,7 +3,7 @@
 Operators that ask something about every window or n-gram of a corpus would shuffle a row per occurrence. Here each
 group of documents asks once per distinct key, as sorted 64-bit hashes in one blob per bucket; the bucket answers in
 the same order, so no key travels back. A key that a third of all documents hold is asked once per group, which bounds
-what one bucket reads. Groups hold about max(4096, sqrt(n)) documents, so blobs number about n at most.
+what one bucket reads. Groups hold about max(2048, sqrt(n)) documents, so blobs number about n at most.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 U = np.uint64
-GROUP_DOCS = 4096
+GROUP_DOCS = 2048
 
 
 def group_count(n_docs: int) -> int:
