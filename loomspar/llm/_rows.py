@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -20,12 +21,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def chunks(batch: pa.RecordBatch, by: str) -> Iterator[pa.RecordBatch]:
-    """Slices of about CHUNK_BYTES of the column `by`; a longer value is a slice of its own. No row is lost."""
+def chunks(batch: pa.RecordBatch, by: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about `most` bytes of the column `by`; a longer value is a slice of its own. No row is lost."""
     at, size = 0, 0
-    for i, n in enumerate(batch.column(by).cast(pa.large_binary()).to_pylist()):
-        n = len(n or b"")
-        if i > at and size + n > CHUNK_BYTES:
+    for i, n in enumerate(pc.binary_length(batch.column(by)).fill_null(0).to_pylist()):
+        if i > at and size + n > most:
             yield batch.slice(at, i - at)
             at, size = i, 0
         size += n

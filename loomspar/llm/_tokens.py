@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U = np.uint64
 _BASE, _ROLL = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 
 #: Bytes of a word: anything but space and 0x09-0x0D.
 SPACED = np.ones(256, bool)
