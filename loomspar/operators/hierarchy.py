@@ -7,11 +7,14 @@ below one.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspar.functions.scalars import strip
+from loomspar.operators.lineage import cut
 
 MAX_ROUNDS = 40
 
@@ -30,17 +33,12 @@ def _doubled(rows: DataFrame) -> DataFrame:
     own = rows.select("row_index", uid("uid").alias("uid"), uid("parent").alias("parent"))
     ids = own.where("uid IS NOT NULL").groupBy("uid").agg(F.min("row_index").alias("up"))
     start = own.join(ids.withColumnRenamed("uid", "parent"), "parent", "left").select("row_index", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint").alias("distance"))
-    n, current = None, start.persist(StorageLevel.MEMORY_AND_DISK)
-    rounds = max(1, (max(1, current.count())).bit_length())
-    for i in range(min(rounds, MAX_ROUNDS)):
+    current = cut(start)
+    for _ in range(min(max(1, current.count().bit_length()), MAX_ROUNDS)):
         if not current.where("up IS NOT NULL").limit(1).count():
             break
         next_ = current.select(F.col("row_index").alias("up"), F.col("up").alias("far"), F.col("distance").alias("more"))
-        new = current.join(next_, "up", "left").select("row_index", F.col("far").alias("up"), (F.col("distance") + F.coalesce("more", F.lit(0))).alias("distance"))
-        new = new.checkpoint() if i % 4 == 3 and rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else new.persist(StorageLevel.MEMORY_AND_DISK)
-        n = new.count()
-        current.unpersist()
-        current = new
+        current = cut(current.join(next_, "up", "left").select("row_index", F.col("far").alias("up"), (F.col("distance") + F.coalesce("more", F.lit(0))).alias("distance")))
     return current
 
 
@@ -62,3 +60,19 @@ def replace_uids(rows: DataFrame, keys: DataFrame) -> DataFrame:
     known = keys.select(uid("uid").alias("__uid"), F.col("key").alias("__key")).dropDuplicates(["__uid"])
     out = rows.join(known, uid("parent") == F.col("__uid"), "left")
     return out.withColumn("parent", F.coalesce("__key", "parent")).drop("__uid", "__key")
+
+
+def with_parent(raw: str, parent: str) -> F.Column:
+    """Records (JSON text) without their uid and with their parent replaced where one is given; keys keep their order."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, parents: pd.Series) -> pd.Series:
+        def one(text: str, key: str | None) -> str:
+            record = {k: v for k, v in json.loads(text).items() if k != "uid"}
+            if key is not None:
+                record["Parent"] = key
+            return json.dumps(record, ensure_ascii=False)
+
+        return pd.Series([one(t, None if pd.isna(k) else k) for t, k in zip(texts, parents)])
+
+    return run(raw, parent)

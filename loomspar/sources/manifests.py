@@ -45,6 +45,7 @@ class ManifestStore:
             "succeeded": sorted(set(old["succeeded"]) | set(data.get("succeeded", []))),
             "failed": failed,
             "created": old["created"] | {str(k): v for k, v in data.get("created", {}).items()},
+            "uid_map": old.get("uid_map", {}) | data.get("uid_map", {}),
             "errors": {k: v for k, v in old["errors"].items() if int(k) in failed} | {str(k): v for k, v in data.get("errors", {}).items()},
         }
         self.put(new, now)
