@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspar.llm._rows import small_batches
+
 U = np.uint64
 GROUP_DOCS = 2048
 
@@ -96,6 +98,7 @@ Apply = Callable[[list, list[bytes], list[bytes]], pa.Table]
 def lookup(docs: DataFrame, id_col: str, text_col: str, ask: Ask, answer: Answer, apply: Apply, schema: str) -> DataFrame:
     """ask(ids, texts, buckets) gives a blob per bucket; answer(blobs of one bucket) a blob for each; apply(ids, texts,
     answers by bucket) the result rows of the group."""
+    small_batches(docs.sparkSession)
     groups = group_count(docs.count())
     source = compressed(docs, id_col, text_col, groups)
 

@@ -6,11 +6,19 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES from here on, if the session has Spark's default of 64 MB."""
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -36,6 +44,7 @@ def chunks(batch: pa.RecordBatch, by: str, most: int = CHUNK_BYTES) -> Iterator[
 def annotate(df: DataFrame, by: str, make: Callable[[], Callable[[pa.RecordBatch], list]], result: str, name: str, keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """df's columns in keep (all by default) and a struct column of type `result`, one value a row from the function
     that make() gives once a task. Returns the frame and the struct's name."""
+    small_batches(df.sparkSession)
     name = free_name(df, name)
     keep = df.columns if keep is None else keep
     kind = T.StructType([f for f in df.schema.fields if f.name in keep] + [T.StructField(name, T._parse_datatype_string(result))])
