@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspar.plans import batches, bindings, lookups, rules, scalars, texts
+from loomspar.plans import batches, bindings, entities, lookups, rules, scalars, texts
 
-_MODULES = (rules, scalars, lookups, batches, texts, bindings)
+_MODULES = (rules, scalars, lookups, batches, texts, bindings, entities)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
