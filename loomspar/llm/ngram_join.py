@@ -1,20 +1,22 @@
 """N-gram Jaccard join: all links between documents whose sets of word shingles overlap enough, by signature trees.
 
 1. Documents of one set form a class, named by the set's 64-bit fingerprint (and joined through their smallest id).
-2. Blocks. Shingles are put in one order for all documents: those counted very often in the corpus last, else by hash.
-   Two linked sets share one of their first n - ceil(t n) + 1 shingles, so each set enters the blocks of these. Which
-   shingles count as frequent only shifts work between blocks, never links; at most FREQUENT are told apart, which
-   bounds what is broadcast.
-3. First pass: each block's members are held against its first member, and verified exactly. Members that are linked
-   already need no further comparison; blocks whose members all belong to one component are done.
-4. Second pass, over the blocks with several components: a signature tree over the block's members. A leaf holds up to
-   LEAF sets as bitmaps of their shingles with their sizes; a node holds the OR of its children's bitmaps and the range
-   of their sizes. Both sides of the dual traversal descend only where the largest overlap possible, which follows from
-   bits that one side lacks and from the sizes, still reaches the threshold. Surviving pairs are verified exactly.
-   A block of more than TREE members is cut by size into trees, and pairs of trees are traversed as separate tasks.
+2. Blocks. Shingles are put in one order for all documents: those counted very often in the corpus last, else those of
+   longer words first (short words meet by chance), then by hash. Two linked sets share one of their first
+   n - ceil(t n) + 1 shingles, so each set enters the blocks of these. Which shingles count as frequent only shifts work
+   between blocks, never links; at most FREQUENT are told apart, which bounds what is broadcast. Blocks are cut at gaps
+   in their sets' sizes that no link can span.
+3. The blocks that share a first member are one group, since near copies meet in many blocks of the same members. A
+   group of more than STRIP members is cut into pairs of strips.
+4. Signature trees over each group, in two passes. A leaf holds a set's token bitmap and size, a node the OR of its
+   children's bitmaps and the range of their sizes. Both sides of the dual traversal descend only where the largest
+   overlap possible, from the bits in common and the sizes, still reaches the threshold. The first pass, with hashed
+   bitmaps of twice a set's size, finds which members may link with any other; the second has their whole sets, gives a
+   bit to every shingle that two of them share, and so counts overlaps exactly. Members that are linked already are not
+   compared again, so a group gives at most one link less than its members.
 5. Components by alternating large-star and small-star rounds, cut off by checkpoints.
 
-Set equality and overlap are those of 64-bit shingle hashes. Signatures only prune; no candidate is dropped otherwise.
+Set equality and overlap are those of 64-bit shingle hashes. Bitmaps only prune; no candidate is dropped otherwise.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is linked with nothing; a text with fewer
 words than a shingle is one shingle, unequal to those of other lengths; null ids never name a component
@@ -33,17 +35,21 @@ from pyspark.sql import functions as F
 
 from loomspar.llm._exchange import group_count, pack, unpack
 from loomspar.llm._lineage import cut
-from loomspar.llm._rows import chunks, free_name
+from loomspar.llm._rows import chunks, free_name, small_batches
 from loomspar.llm._tokens import U, mix, signed, texts_of, whole, windows, words
 
-FREQUENT = 1 << 20
+FREQUENT = 1 << 21
 #: A shingle is frequent from this count on, or from such a share of all shingles that no more than FREQUENT reach it.
-FREQUENT_FROM = 256
+FREQUENT_FROM = 16
 #: Within one slice of documents, from this count on a shingle is reported to the corpus count.
-SLICE_FROM = 4
-LEAF, TREE = 16, 2048
-LEADER_CHUNK = 512
-STRIP_ROWS = 1 << 20
+SLICE_BYTES, SLICE_FROM = 2 << 20, 2
+LEAF, STRIP, BLOCK_PIECE, PARTS = 16, 4096, 1 << 16, 64
+#: Groups of documents to a bucket of shingles.
+BUCKET_GROUPS = 4
+#: Pairs of nodes looked at together, and bytes of a group's exact bitmaps; beyond these, shingles share bits and overlaps
+#: are counted from the sets.
+PAIRS, BITMAP_BYTES = 1 << 16, 32 << 20
+BLOCK_ROWS = 1 << 20
 #: Documents whose sets are compared are told to the executors by their ids up to this number, else joined.
 TOLD_IDS = 1 << 20
 #: Verification compares sets by 48 bits of the shingles' hashes: two sets of n meet by chance in under n * n / 2**48.
@@ -67,29 +73,33 @@ class Rule:
         return self.den * overlap >= self.num * (a + b - overlap)
 
 
-def sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all texts, where each text's begin (one more at the end), and fingerprints."""
+def sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of all texts, the bytes in each one's words, where each text's shingles begin (one
+    more at the end), and fingerprints."""
     w = words(texts, lower=True)
     at, keys = windows(w.hash, w.off, k)
     owner = w.text_of_word()[at] if len(at) else np.empty(0, np.int64)
+    run = np.concatenate((np.zeros(1, np.int64), np.cumsum(w.end - w.start)))
+    length = run[at + k] - run[at]
     short = np.flatnonzero((w.counts > 0) & (w.counts < k))
     if len(short):
         keys = np.concatenate((keys, np.array([whole(w.hash[w.off[i] : w.off[i + 1]]) for i in short], U)))
         owner = np.concatenate((owner, short))
+        length = np.concatenate((length, run[w.off[short + 1]] - run[w.off[short]]))
     order = np.lexsort((keys, owner))
-    keys, owner = keys[order], owner[order]
+    keys, owner, length = keys[order], owner[order], length[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-    keys, owner = keys[new], owner[new]
+    keys, owner, length = keys[new], owner[new], length[new]
     off = np.searchsorted(owner, np.arange(len(texts) + 1))
     sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(keys ^ U(0x5E7)), dtype=U)))
     size = np.diff(off)
-    return keys, off, mix(sums[off[1:]] - sums[off[:-1]] + size.astype(U) * U(0x9E3779B97F4A7C15))
+    return keys, length, off, mix(sums[off[1:]] - sums[off[:-1]] + size.astype(U) * U(0x9E3779B97F4A7C15))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], k: int):
     for batch in batches:
-        for part in chunks(batch, "text") if batch.num_rows else ():
+        for part in chunks(batch, "text", SLICE_BYTES) if batch.num_rows else ():
             yield part, *sets(texts_of(part.column("text")), k)
 
 
@@ -100,13 +110,13 @@ def _first_of(marks: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _members(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, _, off, marks in _slices(batches, rule.words):
+    for part, _, _, off, marks in _slices(batches, rule.words):
         size = np.diff(off)
         yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(size), pa.array(signed(marks), mask=size == 0)], names=["id", "n", "mark"])
 
 
 def _counts(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, keys, off, marks in _slices(batches, rule.words):
+    for _, keys, _, off, marks in _slices(batches, rule.words):
         size = np.diff(off)
         first = _first_of(marks, size)
         mine = np.concatenate([np.arange(off[i], off[i + 1]) for i in first.tolist()] or [np.empty(0, np.int64)]).astype(np.int64)
@@ -121,7 +131,7 @@ def _frequent(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     total = found.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT_FROM, -(-total // FREQUENT))
     rows = found.where((F.col("key").isNotNull()) & (F.col("n") >= least)).collect()  # FREQUENT at most, as their counts add up to total at most
-    keys, strips = np.array([r.key for r in rows], np.int64).view(U), np.array([-(-r.n // STRIP_ROWS) for r in rows], np.int64)
+    keys, strips = np.array([r.key for r in rows], np.int64).view(U), np.array([-(-r.n // BLOCK_ROWS) for r in rows], np.int64)
     order = np.argsort(keys)
     return keys[order], strips[order]
 
@@ -145,11 +155,11 @@ def _grid(keys: np.ndarray, marks: np.ndarray, frequent: np.ndarray, strips: np.
 def _prefixes(rule: Rule, shared, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """By bucket of shingles: shingle, set and set size, packed; one set of equal ones in a slice."""
     frequent, strips = shared.value
-    for _, keys, off, marks in _slices(batches, rule.words):
+    for _, keys, length, off, marks in _slices(batches, rule.words):
         size = np.diff(off)
         owner = np.repeat(np.arange(len(size)), size)
-        late = np.isin(keys, frequent)
-        order = np.lexsort((keys, late, owner))
+        late = frequent[np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)] == keys if len(frequent) else np.zeros(len(keys), bool)
+        order = np.lexsort((keys, -length, late, owner))
         keys, owner = keys[order], owner[order]
         chosen = np.zeros(len(size), bool)
         chosen[_first_of(marks, size)] = True
@@ -166,9 +176,8 @@ def _prefixes(rule: Rule, shared, buckets: int, batches: Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], names=["b", "blob"])
 
 
-def _blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Blocks with two sets or more, as (block, part, members); blocks of the same members once. A large block is given
-    in parts of at most TREE members, in the order of their sizes."""
+def _blocks(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The blocks with two sets or more, by their least member: members of all its blocks, each once (in parts, if many)."""
     parts = [unpack(b) for b in table["blob"].to_pylist()]
     keys, marks, size = (np.concatenate([p[i] for p in parts]) for i in range(3))
     order = np.lexsort((marks, size, keys))
@@ -176,42 +185,34 @@ def _blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])
     keys, marks, size = keys[new], marks[new], size[new]
-    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    size = size.astype(np.int64)
+    # Sets on the two sides of a gap between sizes that can't link need not meet.
+    apart = rule.num * size[1:] > rule.den * size[:-1]
+    head = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | apart)))
     stop = np.append(head[1:], len(keys))
     many = stop - head > 1
     head, stop = head[many], stop[many]
     sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(marks ^ U(0xB10C)), dtype=U)))
     name = mix(sums[stop] - sums[head] + (stop - head).astype(U))
     _, once = np.unique(name, return_index=True)
+    pairs = [np.empty((0, 2), np.int64)]
+    for a, b in zip(head[once].tolist(), stop[once].tolist()):
+        own = signed(marks[a:b])
+        pairs.append(np.column_stack((np.full(b - a, own.min()), own)))
+    lead, mark = np.unique(np.concatenate(pairs), axis=0).T
+    at = np.append(np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1])) if len(lead) else []), len(lead))
     rows = []
-    for n, a, b in zip(signed(name[once]).tolist(), head[once].tolist(), stop[once].tolist()):
-        lead = a + int(marks[a:b].argmin())
-        for i, c in enumerate(range(a, b, TREE)):
-            rows.append((n, i, int(signed(marks[lead : lead + 1])[0]), int(size[lead]), pack(marks[c : min(c + TREE, b)], size[c : min(c + TREE, b)])))
-    cols = list(zip(*rows)) or [()] * 5
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=["block", "part", "lead", "lead_n", "members"])
+    for a, b in zip(at.tolist(), at[1:].tolist()):
+        part = mark[a:b] & (PARTS - 1) if b - a > BLOCK_PIECE else np.zeros(b - a, np.int64)
+        rows += [(int(lead[a]), q, pack(mark[a:b][part == q])) for q in np.unique(part).tolist()]
+    cols = list(zip(*rows)) or [()] * 3
+    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], names=["lead", "part", "members"])
 
 
-def _stars(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block's leader and its other members, but for those whose sizes rule a link out; once a batch."""
-    for batch in batches:
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for lead, n, members in zip(*(batch.column(c).to_pylist() for c in ("lead", "lead_n", "members"))):
-            marks, size = unpack(members)
-            marks = signed(marks)[(signed(marks) != lead) & rule.sizes(size.astype(np.int64), np.int64(n))]
-            a.append(np.full(len(marks), lead))
-            b.append(marks)
-        pairs = np.unique(np.column_stack((np.concatenate(a), np.concatenate(b))), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
-def _unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, part, members in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "members"))):
-            marks, size = unpack(members)
-            n = len(marks)
-            yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array([part] * n, pa.int32()), pa.array(signed(marks)), pa.array(size.astype(np.int64))], names=["block", "part", "mark", "n"])
+def _union(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Members of a group from all buckets, each once."""
+    mark = np.unique(np.concatenate([signed(unpack(m)[0]) for m in table["members"].to_pylist()]))
+    return pa.table({"lead": pa.array(np.full(len(mark), key[0].as_py()), pa.int64()), "mark": pa.array(mark)})
 
 
 def _bits(n: int) -> int:
@@ -226,19 +227,22 @@ def _signature(keys: np.ndarray) -> np.ndarray:
     return np.packbits(out)
 
 
-def _described(rule: Rule, told, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_set(keys: np.ndarray) -> bytes:
+    return pack(np.diff(np.sort(keys & SHORT), prepend=U(0)))
+
+
+def _described(rule: Rule, told, how, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids = None if told is None else told.value
     if ids is not None:
         batches = (b.filter(pa.array(np.isin(b.column("id").fill_null(0).to_numpy(zero_copy_only=False), ids) & b.column("id").is_valid().to_numpy(zero_copy_only=False))) for b in batches)
-    for _, keys, off, marks in _slices(batches, rule.words):
-        each = [keys[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-        packed = [pack(np.diff(np.sort(k & SHORT), prepend=U(0))) for k in each]
-        yield pa.RecordBatch.from_arrays([pa.array(signed(marks)), pa.array(packed, pa.binary()), pa.array([_signature(k).tobytes() for k in each], pa.binary())], names=["mark", "set", "signature"])
+    for _, keys, _, off, marks in _slices(batches, rule.words):
+        blobs = [how(keys[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array(signed(marks)), pa.array(blobs, pa.binary())], names=["mark", "described"])
 
 
-def _sets_of(docs: DataFrame, reps: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """mark, set, signature of the wanted marks, from the text of each class's smallest document. Rows that repeat an id
-    may give a set twice."""
+def _describe(docs: DataFrame, reps: DataFrame, wanted: DataFrame, rule: Rule, how, name: str) -> DataFrame:
+    """mark and how() of its set for the wanted marks, from the text of each class's smallest document. Rows that repeat
+    an id may give a set twice."""
     ids = cut(wanted.select("mark").distinct().join(reps, "mark").select(F.col("rep").alias("wanted_id")))
     told = None
     if ids.count() <= TOLD_IDS:
@@ -246,41 +250,17 @@ def _sets_of(docs: DataFrame, reps: DataFrame, wanted: DataFrame, rule: Rule) ->
         texts = docs
     else:
         texts = docs.join(ids, F.col("id") == F.col("wanted_id"), "left_semi")
-    return cut(texts.mapInArrow(partial(_described, rule, told), "mark long, set binary, signature binary"))
+    return cut(texts.mapInArrow(partial(_described, rule, told, how), "mark long, described binary").withColumnRenamed("described", name))
 
 
 def _plain_set(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob)[0], dtype=U)
 
 
-def _verify(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links between a leader (the row without a side) and the other sets of its chunk."""
-    a, side, blobs = table["a"].to_pylist(), table["b"].to_pylist(), table["set"].to_pylist()
-    lead = next((_plain_set(s) for s, b in zip(blobs, side) if b is None), None)
-    found = []
-    for b, blob in zip(side, blobs):
-        if b is not None and lead is not None:
-            own = _plain_set(blob)
-            at = np.minimum(np.searchsorted(lead, own), len(lead) - 1)
-            if rule.links(int((lead[at] == own).sum()), len(lead), len(own)):
-                found.append(b)
-    return pa.table({"a": pa.array(a[:1] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
-
-
 def _by_group(fn, rule: Rule):
     return lambda key, table: fn(rule, key, table)
 
 
-def verified(pairs: DataFrame, shingles: DataFrame, rule: Rule) -> DataFrame:
-    """Those of the distinct pairs (a, b) that link. A leader's pairs are dealt into chunks, to each of which its set goes
-    once."""
-    shingles = shingles.select("mark", "set")
-    per = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LEADER_CHUNK).cast("long").alias("parts"))
-    others = pairs.join(per, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("c"), "b").join(shingles.withColumnRenamed("mark", "b"), "b").select("a", "c", "b", "set")
-    leads = per.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))).join(shingles.withColumnRenamed("mark", "a"), "a").select("a", "c", F.lit(None).cast("long").alias("b"), "set")
-    return others.unionByName(leads).groupBy("a", "c").applyInArrow(_by_group(_verify, rule), "a long, b long")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for all nodes of the links (a, b), by alternating stars."""
     flat = lambda e: e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
@@ -302,137 +282,151 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """A signature tree. A node: OR of the bitmaps, smallest and largest set, and the most that a set below has more
-    shingles than bits; one component if all sets below are of it, else -1. levels[0] are the sets."""
+    """A signature tree. A node: OR of the bitmaps, smallest and largest set, and the most shingles that a set below has
+    beyond its bits. levels[0] are the sets, in the order of their sizes."""
 
-    def __init__(self, maps: np.ndarray, size: np.ndarray, component: np.ndarray) -> None:
-        self.levels = [(maps, size, size, size - np.bitwise_count(maps).sum(1, dtype=np.int64), component)]
+    def __init__(self, maps: np.ndarray, size: np.ndarray, spare: np.ndarray) -> None:
+        self.levels = [(maps, size, size, spare)]
         while len(self.levels[-1][0]) > 1:
-            m, lo, hi, spare, comp = self.levels[-1]
-            cut_at = np.arange(0, len(m), LEAF)
-            low, high = np.minimum.reduceat(comp, cut_at), np.maximum.reduceat(comp, cut_at)
-            self.levels.append((np.bitwise_or.reduceat(m, cut_at, 0), np.minimum.reduceat(lo, cut_at), np.maximum.reduceat(hi, cut_at), np.maximum.reduceat(spare, cut_at), np.where(low == high, low, -1)))
+            m, lo, hi, more = self.levels[-1]
+            at = np.arange(0, len(m), LEAF)
+            self.levels.append((np.bitwise_or.reduceat(m, at, 0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(more, at)))
 
 
 def _may_link(rule: Rule, x: tuple, y: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether sets below nodes i of x and j of y can link. A set below x whose bits number its shingles less s shares at
-    most s shingles and one for each bit that both nodes have."""
-    fine = np.zeros(len(i), bool)
-    for a in range(0, len(i), 1 << 14):
-        p, q = i[a : a + (1 << 14)], j[a : a + (1 << 14)]
-        common = np.bitwise_count(x[0][p] & y[0][q]).sum(1, dtype=np.int64)
-        most = np.minimum(np.minimum(x[2][p], y[2][q]), common + np.minimum(x[3][p], y[3][q]))
-        fine[a : a + (1 << 14)] = rule.links(most, np.maximum(x[1][p], most), np.maximum(y[1][q], most)) & ((x[4][p] < 0) | (x[4][p] != y[4][q]))
-    return fine
+    """Whether sets below nodes i of x and j of y can link. Sets share at most a shingle for each bit that both nodes
+    have, and those that share their bits with others."""
+    common = np.bitwise_count(x[0][i] & y[0][j]).sum(1, dtype=np.int64)
+    most = np.minimum(np.minimum(x[2][i], y[2][j]), common + np.minimum(x[3][i], y[3][j]))
+    return rule.links(most, np.maximum(x[1][i], most), np.maximum(y[1][j], most))
 
 
 def _children(parent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     first = parent * LEAF
     count = np.minimum(first + LEAF, n) - first
-    row = np.repeat(np.arange(len(parent)), count)
-    return row, np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-
-
-def traverse(rule: Rule, x: Tree, y: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """Sets of x and y that may link, by descending both trees together; of a tree with itself, each pair once."""
-    a, b = len(x.levels) - 1, len(y.levels) - 1
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    while True:
+    return np.repeat(np.arange(len(parent)), count), np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def traverse(rule: Rule, x: Tree, y: Tree, wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of x and y that may link and that wanted(i, j) still asks for, by descending both trees together; of
+    a tree with itself, each pair once. At most about PAIRS * LEAF * LEAF pairs are held at a level."""
+    stack = [(len(x.levels) - 1, len(y.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while stack:
+        a, b, i, j = stack.pop()
+        if len(i) > PAIRS:
+            stack += [(a, b, i[c : c + PAIRS], j[c : c + PAIRS]) for c in range(0, len(i), PAIRS)]
+            continue
+        if a == b == 0:
+            ask = wanted(i, j) if x is not y else wanted(i, j) & (i < j)
+            i, j = i[ask], j[ask]
         fine = _may_link(rule, x.levels[a], y.levels[b], i, j)
         i, j = i[fine], j[fine]
+        if not len(i):
+            continue
         if a == b == 0:
-            break
-        if a >= b and a:
-            row, down = _children(i, len(x.levels[a - 1][0]))
-            i, j, a = down, j[row], a - 1
-            if x is not y and a >= b:
-                continue
-            if b > a:
-                row, down = _children(j, len(y.levels[b - 1][0]))
-                i, j, b = i[row], down, b - 1
-        else:
-            row, down = _children(j, len(y.levels[b - 1][0]))
-            i, j, b = i[row], down, b - 1
+            yield i, j
+            continue
+        deeper_a, deeper_b = a >= b and a > 0, b >= a and b > 0
+        if deeper_a:
+            row, i = _children(i, len(x.levels[a - 1][0]))
+            j, a = j[row], a - 1
+        if deeper_b:
+            row, j = _children(j, len(y.levels[b - 1][0]))
+            i, b = i[row], b - 1
         if x is y:
-            once = i <= j
-            i, j = i[once], j[once]
-    keep = i != j if x is y else slice(None)
-    return i[keep], j[keep]
+            i, j = i[i <= j], j[i <= j]
+        stack.append((a, b, i, j))
 
 
-def _candidates(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Pairs of marks of different components in a block (or in two of its parts) that signature trees leave."""
-    p, q = key[1].as_py(), key[2].as_py()
-    part, mark, size, comp = (table[c].to_numpy() for c in ("part", "mark", "n", "component"))
+def _promising(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Members of a group whose hashed bitmaps leave room for a link with another member."""
+    mark, size = table["mark"].to_numpy(), table["n"].to_numpy()
     maps = [np.frombuffer(b, np.uint8) for b in table["signature"].to_pylist()]
-    _, label = np.unique(comp, return_inverse=True)
     width = np.array([len(m) for m in maps])
-    found = []
+    found = np.zeros(len(mark), bool)
 
-    def tree(rows: np.ndarray, to: int) -> Tree:
-        """Signatures twice as wide are folded onto the narrower ones."""
+    def tree(rows: np.ndarray, to: int) -> tuple[Tree, np.ndarray]:
+        """Bitmaps twice as wide are folded onto the narrower ones."""
         rows = rows[np.argsort(size[rows], kind="stable")]
-        m = np.stack([maps[r] if len(maps[r]) == to else maps[r][:to] | maps[r][to:] for r in rows.tolist()])
-        out = Tree(m.view(np.uint64), size[rows], label[rows])
-        out.rows = rows
-        return out
-
-    def join(x: Tree, y: Tree) -> None:
-        i, j = traverse(rule, x, y)
-        found.append(np.column_stack((mark[x.rows[i]], mark[y.rows[j]])))
+        m = np.stack([maps[r] if len(maps[r]) == to else maps[r][:to] | maps[r][to:] for r in rows.tolist()]).view(np.uint64)
+        return Tree(m, size[rows], size[rows] - np.bitwise_count(m).sum(1, dtype=np.int64)), rows
 
     for w in np.unique(width).tolist():
-        here, wider = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
-        if p == q:
-            own = tree(here, w)
-            join(own, own)
-            if len(wider):
-                join(own, tree(wider, w))
-        else:
-            for one, two in (((here, p), (here, q)), ((here, p), (wider, q)), ((here, q), (wider, p))):
-                left, right = one[0][part[one[0]] == one[1]], two[0][part[two[0]] == two[1]]
-                if len(left) and len(right):
-                    join(tree(left, w), tree(right, w))
-    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-    pairs = np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], 1), axis=0)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-
-def _second_pass(blocks: DataFrame, known: DataFrame, shingles: DataFrame, rule: Rule) -> DataFrame:
-    """Candidates between sets that the first pass left in different components."""
-    members = blocks.mapInArrow(_unfolded, "block long, part int, mark long, n long").join(known, "mark", "left")
-    members = members.withColumn("component", F.coalesce("component", "mark"))
-    parts = members.groupBy("block", "part").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    open_ = parts.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "c1", "c2", "lo", "hi"))).alias("parts"), F.min("c1").alias("c1"), F.max("c2").alias("c2")).where("c1 <> c2")
-    one = F.col("parts")[F.col("i")]
-    pairs = open_.select("block", "parts", F.explode(F.sequence(F.lit(0), F.size("parts") - 1)).alias("i")).select("block", one.alias("x"), F.explode(F.slice("parts", F.col("i") + 1, F.size("parts"))).alias("y"))
-    apart = (F.col("x.c1") != F.col("x.c2")) | (F.col("y.c1") != F.col("y.c2")) | (F.col("x.c1") != F.col("y.c1"))
-    pairs = pairs.where(apart & (F.col("y.lo") * rule.num <= F.col("x.hi") * rule.den)).select("block", F.col("x.part").alias("p"), F.col("y.part").alias("q"))
-    roles = pairs.select("block", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("part"))
-    rows = roles.join(members, ["block", "part"]).join(shingles.select("mark", "signature"), "mark")
-    rows = rows.select("block", "p", "q", "part", "mark", "n", "component", "signature")
-    return rows.groupBy("block", "p", "q").applyInArrow(_by_group(_candidates, rule), "a long, b long").distinct()
+        own, rows = tree(np.flatnonzero(width == w), w)
+        wider = np.flatnonzero(width == 2 * w)
+        for other, others in [(own, rows)] + ([tree(wider, w)] if len(wider) else []):
+            for i, j in traverse(rule, own, other, lambda i, j: (~found[rows[i]] | ~found[others[j]]) & (mark[rows[i]] != mark[others[j]])):
+                found[rows[i]] = found[others[j]] = True
+    return pa.table({"lead": pa.array(np.full(found.sum(), key[0].as_py()), pa.int64()), "cell": pa.array(np.full(found.sum(), key[1].as_py()), pa.int32()), "mark": pa.array(mark[found])})
+
+
+def _bitmaps(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """A bit for each shingle that two sets have; how many shingles of a set go without a bit of their own; whether none
+    does. Shingles of one set only need no bit."""
+    owner = np.repeat(np.arange(len(each)), [len(e) for e in each])
+    _, of, count = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+    shared = count > 1
+    bit = np.cumsum(shared) - 1
+    use = shared[of]
+    owner, bit = owner[use], bit[of[use]]
+    most = max(64, BITMAP_BYTES * 8 // len(each) // 64 * 64)
+    n_bits = max(64, -(-int(shared.sum()) // 64) * 64)
+    out = np.zeros((len(each), min(n_bits, most) // 8), np.uint8)
+    place = bit % (out.shape[1] * 8)
+    np.bitwise_or.at(out, (owner, place >> 3), (1 << (place & 7)).astype(np.uint8))
+    maps = out.view(np.uint64)
+    return maps, np.bincount(owner, minlength=len(each)) - np.bitwise_count(maps).sum(1, dtype=np.int64), n_bits <= most
+
+
+def _linked(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Links that connect all members of a group that links connect."""
+    mark, first = np.unique(table["mark"].to_numpy(), return_index=True)
+    blobs = table["set"].to_pylist()
+    each = [_plain_set(blobs[k]) for k in first.tolist()]
+    order = np.argsort([len(e) for e in each], kind="stable")
+    each, mark = [each[k] for k in order.tolist()], mark[order]
+    size = np.array([len(e) for e in each])
+    maps, spare, exact = _bitmaps(each)
+    root = np.arange(len(each))  # a label for each component so far
+    found = []
+    own = Tree(maps, size, spare)
+    for i, j in traverse(rule, own, own, lambda i, j: root[i] != root[j]):
+        for a, b in zip(i.tolist(), j.tolist()):
+            if root[a] == root[b]:
+                continue
+            if not exact:
+                at = np.minimum(np.searchsorted(each[b], each[a]), size[b] - 1)
+                if not rule.links(int((each[b][at] == each[a]).sum()), int(size[a]), int(size[b])):
+                    continue
+            found.append((mark[a], mark[b]))
+            root[root == root[b]] = root[a]
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Memberships (id, n, mark: null for an empty set) and exactly the links (a, b) between marks that the components
-    need: all links between sets that the first pass left apart, and enough of those within."""
+    """Memberships (id, n, mark: null for an empty set), and links (a, b) between marks that connect all that is linked."""
     rule = rule or Rule()
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     members = cut(texts.mapInArrow(partial(_members, rule), "id long, n long, mark long"))
-    reps = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("id").alias("rep"))
+    classes = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
     shared = texts.sparkSession.sparkContext.broadcast(_frequent(texts, rule))
-    buckets = group_count(members.count())
+    buckets = group_count(members.count() // BUCKET_GROUPS)
     blobs = texts.mapInArrow(partial(_prefixes, rule, shared, buckets), "b int, blob binary")
-    blocks = cut(blobs.groupBy("b").applyInArrow(_blocks, "block long, part int, lead long, lead_n long, members binary"))
-    blocks = cut(blocks.dropDuplicates(["block", "part"]))
-    wanted = blocks.select("block", "part", "members").mapInArrow(_unfolded, "block long, part int, mark long, n long")
-    shingles = _sets_of(texts, reps, wanted, rule)
-    stars = cut(blocks.mapInArrow(partial(_stars, rule), "a long, b long").distinct())
-    first = cut(verified(stars, shingles, rule))
-    known = components(first).withColumnRenamed("node", "mark")
-    second = verified(cut(_second_pass(blocks, known, shingles, rule)), shingles, rule)
-    return members, cut(first.unionByName(second))
+    blocks = blobs.groupBy("b").applyInArrow(_by_group(_blocks, rule), "lead long, part int, members binary")
+    pairs = cut(blocks.groupBy("lead", "part").applyInArrow(_union, "lead long, mark long").distinct())
+    strips = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / STRIP).cast("int").alias("strips")).where("strips > 1")
+    own = F.pmod(F.xxhash64("mark"), F.col("strips")).cast("int")
+    cell = lambda other: F.least(own, other) * F.col("strips") + F.greatest(own, other)
+    cells = pairs.join(strips, "lead", "left").select("lead", "mark", F.explode(F.when(F.col("strips").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("strips") - 1), cell))).alias("cell"))
+
+    reps = classes.select("mark", "rep")
+    signatures = _describe(texts, reps, pairs, rule, lambda keys: _signature(keys).tobytes(), "signature")
+    known = signatures.join(classes.select("mark", "n"), "mark")
+    promising = cut(cells.join(known, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_promising, rule), "lead long, cell int, mark long"))
+    sets_ = _describe(texts, reps, promising, rule, _packed_set, "set")
+    return members, cut(promising.join(sets_, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_linked, rule), "a long, b long").distinct())
 
 
 def group(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
