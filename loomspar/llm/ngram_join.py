@@ -112,7 +112,7 @@ def _first_of(marks: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _members(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, _, _, off, marks in _slices(batches, rule.words):
         size = np.diff(off)
-        yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(size), pa.array(signed(marks), mask=size == 0)], names=["id", "n", "mark"])
+        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(size), pa.array(signed(marks), mask=size == 0)], names=["id", "key", "n", "mark"])
 
 
 def _counts(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,22 +234,22 @@ def _packed_set(keys: np.ndarray) -> bytes:
 def _described(rule: Rule, told, how, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids = None if told is None else told.value
     if ids is not None:
-        batches = (b.filter(pa.array(np.isin(b.column("id").fill_null(0).to_numpy(zero_copy_only=False), ids) & b.column("id").is_valid().to_numpy(zero_copy_only=False))) for b in batches)
+        batches = (b.filter(pa.array(np.isin(b.column("key").to_numpy(), ids))) for b in batches)
     for _, keys, _, off, marks in _slices(batches, rule.words):
         blobs = [how(keys[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
         yield pa.RecordBatch.from_arrays([pa.array(signed(marks)), pa.array(blobs, pa.binary())], names=["mark", "described"])
 
 
 def _describe(docs: DataFrame, reps: DataFrame, wanted: DataFrame, rule: Rule, how, name: str) -> DataFrame:
-    """mark and how() of its set for the wanted marks, from the text of each class's smallest document. Rows that repeat
-    an id may give a set twice."""
-    ids = cut(wanted.select("mark").distinct().join(reps, "mark").select(F.col("rep").alias("wanted_id")))
+    """mark and how() of its set for the wanted marks, from the text of one document of each class. Rows that repeat an id
+    may give a set twice."""
+    ids = cut(wanted.select("mark").distinct().join(reps, "mark").select(F.col("key").alias("wanted")))
     told = None
     if ids.count() <= TOLD_IDS:
-        told = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in ids.where("wanted_id IS NOT NULL").collect()], np.int64)))
+        told = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r.wanted for r in ids.collect()], np.int64)))
         texts = docs
     else:
-        texts = docs.join(ids, F.col("id") == F.col("wanted_id"), "left_semi")
+        texts = docs.join(ids, F.col("key") == F.col("wanted"), "left_semi")
     return cut(texts.mapInArrow(partial(_described, rule, told, how), "mark long, described binary").withColumnRenamed("described", name))
 
 
@@ -408,9 +408,11 @@ def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
     """Memberships (id, n, mark: null for an empty set), and links (a, b) between marks that connect all that is linked."""
     rule = rule or Rule()
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    members = cut(texts.mapInArrow(partial(_members, rule), "id long, n long, mark long"))
-    classes = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
+    # key finds a document's text again; other rows with the same one do no harm.
+    id_ = F.col(id_col).cast("long")
+    texts = docs.select(id_.alias("id"), F.coalesce(id_, F.xxhash64(F.col(text_col))).alias("key"), F.col(text_col).alias("text"))
+    members = cut(texts.mapInArrow(partial(_members, rule), "id long, key long, n long, mark long"))
+    classes = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     shared = texts.sparkSession.sparkContext.broadcast(_frequent(texts, rule))
     buckets = group_count(members.count() // BUCKET_GROUPS)
     blobs = texts.mapInArrow(partial(_prefixes, rule, shared, buckets), "b int, blob binary")
@@ -421,7 +423,7 @@ def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
     cell = lambda other: F.least(own, other) * F.col("strips") + F.greatest(own, other)
     cells = pairs.join(strips, "lead", "left").select("lead", "mark", F.explode(F.when(F.col("strips").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("strips") - 1), cell))).alias("cell"))
 
-    reps = classes.select("mark", "rep")
+    reps = classes.select("mark", "key")
     signatures = _describe(texts, reps, pairs, rule, lambda keys: _signature(keys).tobytes(), "signature")
     known = signatures.join(classes.select("mark", "n"), "mark")
     promising = cut(cells.join(known, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_promising, rule), "lead long, cell int, mark long"))
