@@ -26,7 +26,7 @@ FIELDS = "project string, issue_type string, pos int, field_id string, name stri
 
 def test_cells_keep_order(spark):
     got = cells(spark.createDataFrame([(1, '{"b": 1, "a": "x", "Is_sue Type": {"name": " T "}}'), (2, "[1]"), (3, '{"a":1,"a":2}')], "row_index bigint, raw string"))
-    assert [(r.pos, r.key, r.norm_key, r.kind) for r in got.orderBy("row_index", "pos").collect()] == [(0, "b", "b", "number"), (1, "a", "a", "string"), (2, "Is_sue Type", "issuetype", "object")]
+    assert [(r.pos, r.key, r.norm_key, r.kind) for r in got.orderBy("row_index", "pos").collect()] == [(0, "b", "b", "number"), (1, "a", "a", "string"), (2, "Is_sue Type", "issuetype", "object"), (0, "a", "a", "number"), (1, "a", "a", "number")]
     assert rows(system_field(got, "issuetype"), "key", "extracted") == [("Is_sue Type", "T")]
 
 
@@ -142,7 +142,7 @@ def test_pages_source(spark, tmp_path):
         (tmp_path / f"page{i}.json").write_text(json.dumps({"values": [{"id": i}, {"id": i + 10}]}))
     spark.dataSource.register(PagesSource)
     df = spark.read.format("recorded_pages").option("folder", str(tmp_path)).load()
-    assert rows(df, "page", "item") == [(0, '{"id": 0}'), (0, '{"id": 10}'), (1, '{"id": 1}'), (1, '{"id": 11}')]
+    assert set(rows(df, "page", "item")) == {(0, '{"id": 0}'), (0, '{"id": 10}'), (1, '{"id": 1}'), (1, '{"id": 11}')}
 
 
 def test_progress_stream(spark, tmp_path):
