@@ -140,7 +140,7 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """docs as the mix has them: for each time that a document's words are taken, a row with the words taken in that
     pass, joined by one space, as its text (and their number of characters as n_chars, if there is such a column)."""
-    names = {x: free_name(docs, f"mix_{x}") for x in ("id", "size", "spans", "pass")}
+    names = {x: free_name(docs, f"mix_{x}") for x in ("id", "size", "spans", "pass", "words")}
     taken = taken_words(docs, id_col, text_col, source_col).where("taken > 0")
     # Rows of one id and size are alike to the mix; each gets one of the results.
     taken = taken.select(F.col("id").alias(names["id"]), F.col("size").alias(names["size"]), F.col("spans").alias(names["spans"]), F.row_number().over(W.partitionBy("id", "size").orderBy("spans")).alias("nth"))
@@ -151,9 +151,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = F.col(id_col).cast("long").eqNullSafe(F.col(names["id"])) & (full[names["size"]] == taken[names["size"]]) & (full[n] == taken["nth"])
     both = full.join(taken, same).drop(taken[names["size"]])
     most = F.array_max(F.transform(names["spans"], lambda s: s["uses"])).cast("int")
-    both = both.withColumn(names["pass"], F.explode(F.sequence(F.lit(1), most)))
+    # The words are split below the explode: there they are a column, above it they would be split again for each span.
     words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    pieces = F.transform(F.filter(names["spans"], lambda s: s["uses"] >= F.col(names["pass"])), lambda s: F.array_join(F.slice(words, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")), " "))
+    both = both.withColumn(names["words"], words).withColumn(names["pass"], F.explode(F.sequence(F.lit(1), most)))
+    pieces = F.transform(F.filter(names["spans"], lambda s: s["uses"] >= F.col(names["pass"])), lambda s: F.array_join(F.slice(names["words"], (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")), " "))
     out = both.withColumn(text_col, F.array_join(pieces, " "))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
