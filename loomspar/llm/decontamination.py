@@ -177,14 +177,15 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
 def _merged(found: list[DataFrame], name: str, row: str, keep: list[str]) -> DataFrame:
     """One row for each document from those of all blocks; each block reads the same splits, so a row keeps its number."""
     both = reduce(DataFrame.unionByName, found)
+    words_, spans, matches = (free_name(both, x) for x in ("all_words", "all_spans", "all_matches"))
     first = [F.first(F.col(f"`{c}`")).alias(c) for c in keep]
-    parts = both.groupBy(row).agg(*first, F.first(f"{name}.n_words").alias("n"), F.array_sort(F.flatten(F.collect_list(f"{name}.spans"))).alias("s"), F.flatten(F.collect_list(f"{name}.matches")).alias("m"))
+    parts = both.groupBy(row).agg(*first, F.first(f"{name}.n_words").alias(words_), F.array_sort(F.flatten(F.collect_list(f"{name}.spans"))).alias(spans), F.flatten(F.collect_list(f"{name}.matches")).alias(matches))
     joined = F.aggregate(
-        "s",
+        spans,
         F.array().cast("array<struct<start:long,end:long>>"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))),
     )
-    return parts.select(*[F.col(f"`{c}`") for c in keep], F.struct(F.col("n").alias("n_words"), joined.alias("spans"), F.col("m").alias("matches")).alias(name))
+    return parts.select(*[F.col(f"`{c}`") for c in keep], F.struct(F.col(words_).alias("n_words"), joined.alias("spans"), F.col(matches).alias("matches")).alias(name))
 
 
 def hit_words(name: str) -> F.Column:

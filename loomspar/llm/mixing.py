@@ -140,15 +140,14 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """docs as the mix has them: for each time that a document's words are taken, a row with the words taken in that
     pass, joined by one space, as its text (and their number of characters as n_chars, if there is such a column)."""
-    names = {x: free_name(docs, f"mix_{x}") for x in ("id", "size", "spans", "pass", "words")}
+    names = {x: free_name(docs, f"mix_{x}") for x in ("id", "size", "spans", "pass", "words", "nth", "row")}
     taken = taken_words(docs, id_col, text_col, source_col).where("taken > 0")
     # Rows of one id and size are alike to the mix; each gets one of the results.
-    taken = taken.select(F.col("id").alias(names["id"]), F.col("size").alias(names["size"]), F.col("spans").alias(names["spans"]), F.row_number().over(W.partitionBy("id", "size").orderBy("spans")).alias("nth"))
+    taken = taken.select(F.col("id").alias(names["id"]), F.col("size").alias(names["size"]), F.col("spans").alias(names["spans"]), F.row_number().over(W.partitionBy("id", "size").orderBy("spans")).alias(names["nth"]))
     nth = W.partitionBy(id_col, names["size"]).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     full = docs.withColumn(names["size"], word_count(F.col(text_col)))
-    n = free_name(full, "nth")
-    full = full.withColumn(n, F.row_number().over(nth))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col(names["id"])) & (full[names["size"]] == taken[names["size"]]) & (full[n] == taken["nth"])
+    full = full.withColumn(names["row"], F.row_number().over(nth))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(names["id"])) & (full[names["size"]] == taken[names["size"]]) & (F.col(names["row"]) == F.col(names["nth"]))
     both = full.join(taken, same).drop(taken[names["size"]])
     most = F.array_max(F.transform(names["spans"], lambda s: s["uses"])).cast("int")
     # The words are split below the explode: there they are a column, above it they would be split again for each span.
