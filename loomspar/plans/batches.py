@@ -35,7 +35,7 @@ def uid_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def uid_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, c = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer")
-    keys = c.where("c_custkey % 3 > 0").select(F.col("c_custkey").cast("string").alias("uid"), F.concat(F.lit("KEY-"), F.col("c_custkey").cast("string")).alias("key"))
+    keys = c.select(F.col("c_custkey").cast("string").alias("uid"), F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("KEY-"), F.col("c_custkey").cast("string"))).alias("key"))
     return H.replace_uids(o.select("o_orderkey", F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("parent")), keys)
 
 
@@ -82,7 +82,7 @@ def retry_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bulk_response_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_index"), (F.col("o_custkey") % 20).alias("grp"))
     sent = B.batches(o, 10, ["grp"]).withColumn("batch", F.col("grp") * 100000 + F.col("batch"))
-    failed = sent.where("row_index % 7 = 3").select("batch", "position", F.lit("refused").alias("error"))
+    failed = sent.withColumn("error", F.when(F.col("row_index") % 7 == 3, "refused")).where("error IS NOT NULL").select("batch", "position", "error")
     n = sent.join(failed, ["batch", "position"], "left").where("error IS NULL").groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
     created = n.select("batch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("k")).withColumn("key", F.concat_ws("-", F.lit("C"), F.col("batch").cast("string"), F.col("k").cast("string")))
     return B.normalise_response(sent, failed, created)

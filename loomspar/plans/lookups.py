@@ -110,15 +110,15 @@ def user_policy_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sprint_exact_state_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _table(spark, sf_dir, "events")
     state = F.element_at(F.array(*map(F.lit, ("closed", "future", "active"))), (F.col("event_id") % 3 + 1).cast("int"))
-    sprints = e.where("event_id < 60").select(F.col("event_id").alias("sprint_id"), F.col("event_id").alias("pos"), F.concat(F.lit("Sprint "), (F.col("event_id") % 20).cast("string")).alias("name"), state.alias("state"))
-    sprints = sprints.unionByName(spark.createDataFrame([(900, 900, "Autumn release", "future")], sprints.schema))
+    sprints = e.select(F.col("event_id").alias("sprint_id"), F.col("event_id").alias("pos"), F.concat(F.lit("Sprint "), (F.col("event_id") % 211).cast("string")).alias("name"), state.alias("state"))
+    sprints = sprints.unionByName(spark.createDataFrame([(-9, -9, "Autumn release", "future")], sprints.schema))
     n = F.col("event_id")
-    value = _pick(n, F.concat(F.lit("SPRINT "), (n % 25).cast("string")), n.cast("string"), F.lit("autumn"), F.lit("sprint"), F.lit(""))
+    value = _pick(n, F.concat(F.lit("SPRINT "), (n % 250).cast("string")), n.cast("string"), F.lit("autumn"), F.lit("sprint"), F.lit(""))
     return L.sprint_by_name(e.select(n.alias("cell_id"), value.alias("value")), sprints)
 
 
 def mru_board_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").where("o_orderkey < 500")
+    o = _table(spark, sf_dir, "orders")
     boards = o.select((F.col("o_custkey") % 10).alias("project"), F.col("o_orderkey").alias("board_id"))
     hint = F.array((F.col("project") + 100).cast("bigint"), F.lit(7).cast("bigint"), (F.col("project") * 3).cast("bigint"))
     ranked = L.boards_by_hint(boards, hint, 5)
@@ -227,10 +227,10 @@ SQL = {
         SELECT cell_id, 'f' || coalesce(p1, p2, p3) AS field_id, CASE WHEN p1 IS NOT NULL THEN 1 WHEN p2 IS NOT NULL THEN 2 WHEN p3 IS NOT NULL THEN 3 END AS tier FROM v JOIN t USING (w)""",
     "user_tiered_match": _sql_users("first"),
     "user_policy_error": _sql_users("error"),
-    "sprint_exact_state_rank": f"""WITH s AS (SELECT event_id AS id, 'sprint ' || (event_id % 20) AS name, CASE event_id % 3 WHEN 2 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS st FROM events WHERE event_id < 60 UNION ALL SELECT 900, 'autumn release', 1),
-        x AS (SELECT name, arg_min(id, st * 10000 + id) AS id FROM s GROUP BY name)
-        SELECT event_id AS cell_id, CASE event_id % 5 WHEN 0 THEN x.id WHEN 1 THEN event_id WHEN 2 THEN 900 END AS sprint_id FROM events LEFT JOIN x ON event_id % 5 = 0 AND x.name = 'sprint ' || (event_id % 25)""",
-    "mru_board_order": """WITH b AS (SELECT o_custkey % 10 AS project, o_orderkey AS board_id, [CAST(o_custkey % 10 + 100 AS BIGINT), 7, CAST(o_custkey % 10 * 3 AS BIGINT)] AS h FROM orders WHERE o_orderkey < 500),
+    "sprint_exact_state_rank": f"""WITH s AS (SELECT event_id AS id, 'sprint ' || (event_id % 211) AS name, CASE event_id % 3 WHEN 2 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS st FROM events),
+        x AS (SELECT name, arg_min(id, st * 10000000000 + id) AS id FROM s GROUP BY name)
+        SELECT event_id AS cell_id, CASE event_id % 5 WHEN 0 THEN x.id WHEN 1 THEN event_id WHEN 2 THEN -9 END AS sprint_id FROM events LEFT JOIN x ON event_id % 5 = 0 AND x.name = 'sprint ' || (event_id % 250)""",
+    "mru_board_order": """WITH b AS (SELECT o_custkey % 10 AS project, o_orderkey AS board_id, [CAST(o_custkey % 10 + 100 AS BIGINT), 7, CAST(o_custkey % 10 * 3 AS BIGINT)] AS h FROM orders),
         r AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY coalesce(list_position(h, board_id), 1 << 30), board_id DESC) AS rank FROM b)
         SELECT project, board_id, rank, array_to_string(list_filter([board_id] || h, lambda x, i: list_position([board_id] || h, x) = i)[1:5], ',') AS hint FROM r WHERE rank <= 5""",
     "parent_weight_topk": """WITH w AS (SELECT p_type, p_partkey, CAST(CASE WHEN p_brand = 'Brand#1' THEN 100 ELSE 0 END + CASE WHEN lower(p_name) = 'red' THEN 50 WHEN starts_with(lower(p_name), 'red') THEN 25 ELSE 0 END AS BIGINT) AS weight FROM part),
