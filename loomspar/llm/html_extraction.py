@@ -10,7 +10,8 @@ sidebars, notices, adverts, forms, comments, link lists and tables in the text),
 words are invented, so nothing but structure and shape can be learned. Training is bounded by its number of pages.
 
 Defined cases: null, empty or blank html has no blocks and an empty text; broken markup is read as far as it goes (open
-elements end with the page); unknown elements are inline; repeated rows are extracted singly; other columns stay.
+elements end with the page; a head without end tag ends at the first element or text that can't stand in it; a reference
+without a number is text; marked sections that aren't ones are comments); unknown elements are inline; repeated rows are extracted singly; other columns stay.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
 CLOSES |= {t: {"p"} for t in "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
 SCOPES = frozenset("ul ol dl table div section article aside main nav header footer form body blockquote td th".split())
 SPACE = " \t\n\r\f\v"
+#: Elements that leave an open head open.
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_NUMBER = re.compile(r"&#(?:[0-9]+|[xX][0-9a-fA-F]+)?;?")
+_MARKED = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-zA-Z0-9])", re.IGNORECASE)
 
 ANCESTORS = ("article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "table", "section", "blockquote", "figure", "button", "select", "details")
 HINTS = (
@@ -75,15 +80,34 @@ class _Blocks(HTMLParser):
         self.blocks: list[Block] = []
         self.open: Block | None = None
         self.silent = self.anchors = 0
+        self.behind = False
         self.lines = [0]
         for m in re.finditer("\n", page):
             self.lines.append(m.end())
         self.feed(page)
+        self._resume()
         rest = self.rawdata
         if rest and not rest.startswith("<"):
-            self.handle_data(html.unescape(rest))
+            self._text(html.unescape(rest))
         self._end()
 
+    def _resume(self) -> None:
+        """The parser stops at "&#" that it can't read as a reference, before it or (if a ";" follows anywhere) behind it."""
+        while (self.rawdata or self.behind) and not self.cdata_elem:
+            if self.behind:
+                self.rawdata, self.offset, self.behind = "&#" + self.rawdata, self.offset - 2, False
+            elif not self.rawdata.startswith("&#"):
+                return
+            end = _NUMBER.match(self.rawdata).end()
+            self._text(html.unescape(self.rawdata[:end]))
+            self.updatepos(0, end)
+            self.rawdata = self.rawdata[end:]
+            self.goahead(0)
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        end = super().parse_marked_section(i, report) if _MARKED.match(self.rawdata, i) else -1
+        return self.parse_bogus_comment(i) if end < 0 else end
+
     def _end(self) -> None:
         if self.open is not None:
             text = _one_space("".join(self.open.parts))
@@ -99,7 +123,15 @@ class _Blocks(HTMLParser):
         if tag in BLOCK_TAGS:
             self._end()
 
+    def _end_head(self) -> None:
+        while any(t == "head" for t, _, _ in self.stack):
+            self._pop()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" or (self.stack and self.stack[-1][0] == "head" and tag not in HEAD_TAGS):
+            self._end_head()
+        if tag == "head" and any(t == "head" for t, _, _ in self.stack):
+            return
         if ends := CLOSES.get(tag):
             for i in range(len(self.stack) - 1, -1, -1):
                 if self.stack[i][0] in ends:
@@ -138,6 +170,14 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data == "&#":  # the parser stops behind it
+            self.behind = True
+        else:
+            self._text(data)
+
+    def _text(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip(SPACE):
+            self._end_head()
         if self.silent:
             return
         if self.open is None:
@@ -161,7 +201,7 @@ class _Blocks(HTMLParser):
     def _reference(self, ref: str) -> None:
         line, column = self.getpos()
         at = self.lines[min(line, len(self.lines)) - 1] + column + len(ref)
-        self.handle_data(html.unescape(ref + ";" if self._page_char(at) == ";" else ref))
+        self._text(html.unescape(ref + ";" if self._page_char(at) == ";" else ref))
 
     def _page_char(self, at: int) -> str:
         return self.page[at : at + 1]

@@ -154,6 +154,36 @@ def test_extraction_edges(spark):
     assert out.count() == len(pages) and got[0] == got[1] == got[2] == "" and got[4] == "open" and len(got[6]) == 19 * 20000 - 1
 
 
+def _block_texts(page):
+    return [b.text for b in html_extraction.leaf_blocks(page)]
+
+
+def test_pages_without_end_of_head():
+    assert _block_texts("<html><head><title>no</title><meta name=x><body><p>Some text.</p></body></html>") == ["Some text."]
+    assert _block_texts("<head><title>no</title><link rel=x><p>Some text.</p>") == _block_texts("<head><head></head><title>no</title>Some text.") == ["Some text."]
+    assert _block_texts("<head><title>no <b>no</b></title><style>p {}</style><noscript><img src=x>no</noscript></head><body>a") == ["a"]
+    page = PAGE.replace("</head>", "")
+    assert html_extraction.extract(html_extraction.trained(), [page])[0]["text"] == html_extraction.extract(html_extraction.trained(), [PAGE])[0]["text"]
+
+
+def test_references_without_number():
+    tail = "<script>var no = '&#';</script><p>more &amp; &#33;</p><footer>end</footer>"
+    for ref, text in (("&#", "&#"), ("&#x", "&#x"), ("&#;", "&#;"), ("&#xyz;", "&#xyz;"), ("&#65bc", "Abc"), ("&#<b>c</b>", "&#c"), ("&#&#", "&#&#")):
+        for end in ("", ";"):
+            assert _block_texts(f"<p>a {ref} b{tail}{end}") == [f"a {text} b", "more & !", *(["end"] if not end else ["end", ";"])]
+    assert _block_texts("<p>a &#65") == ["a A"] and _block_texts("<p>a &#") == ["a &#"] and _block_texts("<p>a &am") == ["a &am"]
+    assert _block_texts("<p>a &#<p") == ["a &#"] and _block_texts("<p>a &#&am") == ["a &#&am"] and _block_texts("<p>a ;&#<p") == ["a ;&#"]
+    page = "<p>one\n</p><p>&# two</p>\n<p>three;</p>"
+    assert [b.start for b in html_extraction.leaf_blocks(page)] == [page.index(t) for t in ("one", "&#", "three")]
+
+
+def test_bad_marked_sections():
+    for section in ("<![ x]>", "<![foo[ x ]>", "<![>", "<![CDATA[ x>", "<![if !IE]>", "<![endif]>", "<![CDATA[ x ]]>"):
+        page = f"<p>a</p>{section}<p>b</p>"
+        assert [(b.text, b.start) for b in html_extraction.leaf_blocks(page)] == [("a", 3), ("b", page.index("b</p>"))]
+    assert _block_texts("<p>a</p><![ x") == ["a"]
+
+
 # Tokens.
 
 
