@@ -108,11 +108,19 @@ def field_by_name(names: DataFrame, fields: DataFrame, scope: list[str]) -> Data
 # Tiers of users.
 
 
-def match_users(cells: DataFrame, users: DataFrame, policy: str = "first") -> DataFrame:
-    """cell_id, status, user_pos, confidence by exact tiers. users: pos, username, display, email, active.
+#: Similarity of a user's single names, by which the policy "score" ranks.
+SIMILAR = Options(threshold=1.0, least_run=1)
+
+
+def match_users(cells: DataFrame, users: DataFrame, policy: str = "first", fuzzy: Options | None = Options()) -> DataFrame:
+    """cell_id, status, user_pos, confidence by tiers. users: pos, username, display, email, active.
 
     An e-mail is looked up among e-mails, then user names; other values stop at the first tier with a hit: equal user
-    name (0.95), user name prefix (0.7), part of the display name (0.5). policy: first (in directory order) or error."""
+    name (0.95), user name prefix (0.7), part of the display name (0.5). Values without a hit match users approximately
+    (0.4) by all three, unless fuzzy is None. policy: first (in directory order, approximate ones by their score), error,
+    or score (the most similar by the sum over the three, ambiguous if two are)."""
+    if policy not in ("first", "error", "score"):
+        raise ValueError(f"unknown policy {policy}")
     live = users.where("active IS NULL OR active")
     wanted = cells.withColumn("w", F.lower(clean("value"))).where("w IS NOT NULL")
     values = wanted.select("w").distinct().withColumn("mail", is_email("w"))
@@ -129,8 +137,14 @@ def match_users(cells: DataFrame, users: DataFrame, policy: str = "first") -> Da
     some = values.where("NOT mail AND char_length(w) >= 3").withColumn("g", F.substring("w", 1, 3)).join(grams, "g").where(F.col("d").contains(F.col("w")))
     short = values.where("NOT mail AND char_length(w) < 3").join(live.select("pos", d.alias("d"), F.explode(F.flatten(F.array(_pairs_of(d), F.split(d, "")))).alias("g")).distinct(), F.col("w") == F.col("g"))
     by_part = plain(some.unionByName(short.select(*some.columns)).distinct(), "g", 0.5, 4)
-    hits = by_mail.unionByName(by_name).unionByName(by_prefix).unionByName(by_part)
-    top = hits.groupBy("w", "tier").agg(F.min("pos").alias("pos"), F.countDistinct("pos").alias("n"), F.first("confidence").alias("confidence"))
+    hits = by_mail.unionByName(by_name).unionByName(by_prefix).unionByName(by_part).withColumn("s", F.lit(0.0))
+    if fuzzy is not None:
+        missed = values.join(hits.select("w").distinct(), "w", "left_anti").select(F.lit(1).alias("all"), F.col("w").alias("wanted"))
+        near = scored(missed, live.select(F.lit(1).alias("all"), F.col("pos").alias("id"), F.col("display").alias("name"), "email", "username"), ["all"], ["email", "username"], fuzzy)
+        hits = hits.unionByName(near.select(F.col("wanted").alias("w"), F.col("id").alias("pos"), F.lit(0.4).alias("confidence"), F.lit(5).alias("tier"), F.col("score").alias("s")))
+    if policy == "score":
+        return _most_similar(wanted, hits, live)
+    top = hits.groupBy("w", "tier").agg(F.min_by("pos", F.struct("s", "pos")).alias("pos"), F.countDistinct("pos").alias("n"), F.first("confidence").alias("confidence"))
     best = top.groupBy("w").agg(F.min_by(F.struct("pos", "n", "confidence"), "tier").alias("b"))
     out = wanted.join(best, "w", "left")
     n = F.col("b.n")
@@ -138,6 +152,19 @@ def match_users(cells: DataFrame, users: DataFrame, policy: str = "first") -> Da
     return out.select("cell_id", status.alias("status"), F.when(status == "ok", F.col("b.pos")).alias("user_pos"), F.when(status == "ok", F.col("b.confidence")).alias("confidence"))
 
 
+def _most_similar(wanted: DataFrame, hits: DataFrame, live: DataFrame) -> DataFrame:
+    """match_users() by the policy "score": of the first tier's hits; a name that is missing counts as not similar."""
+    from loomspar.operators.entities import best_by_policy
+
+    first = hits.groupBy("w").agg(F.min("tier").alias("tier"))
+    pairs = hits.join(first, ["w", "tier"]).select("w", "pos", "confidence").distinct().join(live.select("pos", "username", "display", "email"), "pos")
+    similarity = sum((F.coalesce(fuzzy_score("w", k, options=SIMILAR), F.lit(1.0)) for k in ("username", "display", "email")), F.lit(0.0))
+    ranked = best_by_policy(pairs.withColumn("similarity", similarity).withColumnRenamed("w", "cell_id")).withColumnRenamed("cell_id", "w")
+    sure = pairs.select("w", "pos", "confidence")
+    out = wanted.join(ranked.join(sure, ["w", "pos"], "left"), "w", "left")
+    return out.select("cell_id", F.coalesce("status", F.lit("not_found")).alias("status"), F.col("pos").alias("user_pos"), "confidence")
+
+
 # Sprints, boards, parents.
 
 

@@ -100,13 +100,27 @@ def user_tiered_match(spark: SparkSession, sf_dir: str, policy: str = "first") -
         k.alias("pos"), F.concat(F.lit("User"), n).alias("username"), F.col("c_name").alias("display"), F.concat(F.lit("u"), n, F.lit("@Example.com")).alias("email"), F.when(k % 7 != 3, True).when(k % 2 == 0, False).alias("active")
     )
     value = _pick(k, F.concat(F.lit("u"), n, F.lit("@example.COM")), F.concat(F.lit("USER"), n), F.lit("use"), F.concat(F.lit("#0000"), F.lpad(n, 5, "0")), F.lit("nobody@example.com"), F.lit("zq"), F.lit(None).cast("string"))
-    return L.match_users(c.select(k.alias("cell_id"), value.alias("value")), users, policy)
+    return L.match_users(c.select(k.alias("cell_id"), value.alias("value")), users, policy, fuzzy=None)
 
 
 def user_policy_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_tiered_match(spark, sf_dir, "error")
 
 
+def fuzzy_user(spark: SparkSession, sf_dir: str, policy: str = "first") -> DataFrame:
+    """User names, e-mails and display names with a letter dropped, doubled or changed, or without a likeness, among the
+    distinct part names as users."""
+    p = _table(spark, sf_dir, "part")
+    k, n = F.col("p_partkey"), F.col("p_name")
+    name = F.replace(n, F.lit(" "), F.lit("."))
+    mail = F.concat(name, F.lit("@example.com"))
+    users = p.groupBy("p_name").agg(F.min("p_partkey").alias("pos")).select("pos", F.concat(F.lit("u-"), name).alias("username"), n.alias("display"), mail.alias("email"), (F.col("pos") % 5 > 0).alias("active"))
+    at = (k % 3 + 2).cast("int")
+    dropped, doubled, changed = (lambda c: F.concat(F.left(c, at), F.substr(c, at + 2, F.lit(99)))), (lambda c: F.concat(F.left(c, at), F.substr(c, at, F.lit(99)))), (lambda c: F.concat(F.left(c, at), F.lit("x"), F.substr(c, at + 2, F.lit(99))))
+    value = _pick(k, mail, dropped(mail), doubled(n), changed(F.upper(n)), dropped(F.concat(F.lit("u-"), name)), F.concat(F.lit("zz"), F.reverse(n)))
+    return L.match_users(p.select(k.alias("cell_id"), value.alias("value")), users, policy)
+
+
 def sprint_exact_state_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _table(spark, sf_dir, "events")
     state = F.element_at(F.array(*map(F.lit, ("closed", "future", "active"))), (F.col("event_id") % 3 + 1).cast("int"))
@@ -186,7 +200,7 @@ def status_by_type_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        priority_lookup, option_lookup, ambiguous_lookup, project_lookup, fuzzy_resolve, fuzzy_scores, closest_field_names_top3, field_name_tiers, user_tiered_match, user_policy_error,
+        priority_lookup, option_lookup, ambiguous_lookup, project_lookup, fuzzy_resolve, fuzzy_scores, closest_field_names_top3, field_name_tiers, user_tiered_match, user_policy_error, fuzzy_user,
         sprint_exact_state_rank, mru_board_order, parent_weight_topk, parent_field_candidate, parent_level, valid_parent, cascading_option, status_by_type, status_by_type_fallback,
     )
 }

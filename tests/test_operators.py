@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loomspar import errors
 from loomspar.engine import Engine, Options
+from loomspar.functions import fuzzy
 from loomspar.operators import binding, bulk, hierarchy, lookups, validation
 from loomspar.operators.cells import cells, system_field
 from loomspar.sources import readers, sink
@@ -93,6 +94,35 @@ def test_interior_failure_shifts_nothing(spark):
     assert rows(bulk.normalise_response(sent, failed, created), "row_index", "key", "error") == [(10, "K0", None), (11, None, "bad"), (12, "K1", None), (13, "K2", None)]
 
 
+USERS = [(0, "asmith", "Anna Smith", "anna.smith@x.org", True), (1, "bsmith", "Bert Smith", "bert.smith@x.org", None), (2, "csmith", "Carl Smith", None, True), (3, "dsmith", None, "dora@x.org", False), (4, "nn", "Anna Smith", "other@x.org", True)]
+USER = "pos bigint, username string, display string, email string, active boolean"
+
+
+def test_mistyped_users_match_approximately(spark):
+    users = spark.createDataFrame(USERS, USER)
+    values = ["anna.smiht@x.org", "Bret Smith", "crl smith", "csmiht", "dora@x.ogr", "unlike", "anna smith", "smit", None, " "]
+    cells = spark.createDataFrame(list(enumerate(values)), "cell_id bigint, value string")
+    got = {p: {r.cell_id: tuple(r)[1:] for r in lookups.match_users(cells, users, p).collect()} for p in ("first", "error", "score")}
+    for i, v in enumerate(values[:6]):
+        live = [(fuzzy.item_score(v, [d, m, u]), pos) for pos, u, d, m, on in USERS if on is not False]
+        hits = sorted(x for x in live if x[0] is not None)
+        assert got["first"][i] == (("ok", hits[0][1], 0.4) if hits else ("not_found", None, None))
+        assert got["error"][i] == (("ok", hits[0][1], 0.4) if len(hits) == 1 else ("ambiguous" if hits else "not_found", None, None))
+    assert got["first"][0][1] == 0 and got["first"][1][1] == 1 and got["first"][3][1] == 2 and got["first"][5][0] == "not_found"
+    assert got["first"][6] == ("ok", 0, 0.5) and got["error"][6][0] == "ambiguous" and got["score"][6] == ("ok", 0, 0.5)
+    assert got["score"][0][:2] == ("ok", 0) and got["score"][5] == ("not_found", None, None) and set(got["first"]) == set(got["score"]) == set(range(8))
+    assert {r.status for r in lookups.match_users(cells, users, fuzzy=None).where("cell_id < 6").collect()} == {"not_found"}
+    with pytest.raises(ValueError):
+        lookups.match_users(cells, users, "best")
+
+
+def test_engine_scores_users(spark):
+    users = spark.createDataFrame([(0, "xsmith", "Smithson Smith Smyth", "a@b.c", True), (1, "smith.j", "Smith", "smith@b.c", True)], USER)
+    cells = spark.createDataFrame([(0, "mith")], "cell_id bigint, value string")
+    ask = lambda policy: Engine(spark, Catalog(spark, tables={"user": users}), options=Options(ambiguity=policy)).users(cells).first().user_pos
+    assert ask("first") == 0 and ask("score") == 1
+
+
 def test_bind_and_convert(spark):
     fields = spark.createDataFrame(
         [("P", "Task", 0, "summary", "Summary", "string", None), ("P", "Task", 1, "duedate", "Due Date", "date", None), ("P", "Task", 2, "labels", "Labels", "array", "string"), ("P", "Task", 3, "customfield_1", "Story Points", "number", None), ("P", "Task", 4, "prio", "Priority", "priority", None), ("P", "Task", 5, "timetracking", "Time Tracking", "timetracking", None)],
