@@ -168,17 +168,20 @@ def _most_similar(wanted: DataFrame, hits: DataFrame, live: DataFrame) -> DataFr
 # Sprints, boards, parents.
 
 
-def sprint_by_name(cells: DataFrame, sprints: DataFrame) -> DataFrame:
+def sprint_by_name(cells: DataFrame, sprints: DataFrame, scope: list[str] | None = None) -> DataFrame:
     """cell_id, sprint_id: digits are an id; else an equal name (active before future before others, then position); else
-    the only sprint whose name contains the value."""
+    the only sprint whose name contains the value. scope: columns of both in which names are told apart."""
+    scope = scope or []
     w = F.lower(clean("value"))
     state = F.when(F.lower("state") == "active", 0).when(F.lower("state") == "future", 1).otherwise(2)
-    exact = sprints.groupBy(F.lower("name").alias("w")).agg(F.min_by("sprint_id", F.struct(state, "pos")).alias("equal_id"))
-    own = cells.withColumn("w", w).join(exact, "w", "left")
+    exact = sprints.groupBy(*scope, F.lower("name").alias("w")).agg(F.min_by("sprint_id", F.struct(state, "pos")).alias("equal_id"))
+    own = cells.withColumn("w", w).join(exact, [*scope, "w"], "left")
     digits = F.col("w").rlike(r"^\d+$")
-    missed = own.where(F.col("equal_id").isNull() & ~digits & F.col("w").isNotNull()).select("w").distinct()
-    parts = missed.join(sprints.select("sprint_id", F.lower("name").alias("n")), F.col("n").contains(F.col("w"))).groupBy("w").agg(F.min("sprint_id").alias("part_id"), F.count(F.lit(1)).alias("n")).where("n = 1")
-    return own.join(parts, "w", "left").select("cell_id", F.coalesce(F.when(digits, F.col("w").try_cast("bigint")), "equal_id", "part_id").alias("sprint_id"))
+    missed = own.where(F.col("equal_id").isNull() & ~digits & F.col("w").isNotNull()).select(*scope, "w").distinct()
+    named = sprints.select("sprint_id", F.lower("name").alias("n"), *[F.col(c).alias(f"__{c}") for c in scope])
+    same = [F.col(c) == F.col(f"__{c}") for c in scope]
+    parts = missed.join(named, [F.col("n").contains(F.col("w")), *same]).groupBy(*scope, "w").agg(F.min("sprint_id").alias("part_id"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    return own.join(parts, [*scope, "w"], "left").select("cell_id", F.coalesce(F.when(digits, F.col("w").try_cast("bigint")), "equal_id", "part_id").alias("sprint_id"))
 
 
 def boards_by_hint(boards: DataFrame, hint: Column, top: int | None = None) -> DataFrame:
@@ -231,17 +234,19 @@ def valid_parents(pairs: DataFrame, levels: DataFrame) -> DataFrame:
 # Cascading options.
 
 
-def resolve_cascade(cells: DataFrame, options: DataFrame) -> DataFrame:
+def resolve_cascade(cells: DataFrame, options: DataFrame, scope: list[str] | None = None) -> DataFrame:
     """cell_id, status, parent_id, child_id by exact names. cells: cell_id, parent, child (either may be null). options:
-    parent_id, parent, child_id, child. A lone value is a parent if it names one, else a child if one parent has it."""
+    parent_id, parent, child_id, child. A lone value is a parent if it names one, else a child if one parent has it. scope:
+    columns of both in which names are told apart."""
+    scope = scope or []
     p, c = F.lower(clean("parent")), F.lower(clean("child"))
-    own = cells.select("cell_id", p.alias("p"), c.alias("c"))
-    parents = options.groupBy(F.lower("parent").alias("p")).agg(F.min("parent_id").alias("pid"))
-    children = options.groupBy(F.lower("parent").alias("p"), F.lower("child").alias("c")).agg(F.min("child_id").alias("cid"))
-    anywhere = options.groupBy(F.lower("child").alias("c")).agg(F.countDistinct("parent_id").alias("n"), F.min(F.struct("parent_id", "child_id")).alias("o"))
-    full = own.where("p IS NOT NULL").join(parents, "p", "left").join(children, ["p", "c"], "left")
+    own = cells.select("cell_id", *scope, p.alias("p"), c.alias("c"))
+    parents = options.groupBy(*scope, F.lower("parent").alias("p")).agg(F.min("parent_id").alias("pid"))
+    children = options.groupBy(*scope, F.lower("parent").alias("p"), F.lower("child").alias("c")).agg(F.min("child_id").alias("cid"))
+    anywhere = options.groupBy(*scope, F.lower("child").alias("c")).agg(F.countDistinct("parent_id").alias("n"), F.min(F.struct("parent_id", "child_id")).alias("o"))
+    full = own.where("p IS NOT NULL").join(parents, [*scope, "p"], "left").join(children, [*scope, "p", "c"], "left")
     full = full.select("cell_id", F.when(F.col("pid").isNull() | (F.col("c").isNotNull() & F.col("cid").isNull()), "not_found").otherwise("ok").alias("status"), F.col("pid").alias("parent_id"), F.col("cid").alias("child_id"))
-    lone = own.where("p IS NULL").join(parents.withColumnRenamed("p", "c"), "c", "left").join(anywhere, "c", "left")
+    lone = own.where("p IS NULL").join(parents.withColumnRenamed("p", "c"), [*scope, "c"], "left").join(anywhere, [*scope, "c"], "left")
     is_parent = F.col("pid").isNotNull()
     lone = lone.select(
         "cell_id", F.when(is_parent, "ok").when(F.col("n") == 1, "ok").when(F.col("n") > 1, "ambiguous").otherwise("not_found").alias("status"),

@@ -105,6 +105,12 @@ class Catalog:
         open_ = self.table("sprint").where(F.col("state").isin("active", "future")).join(self.boards(project).select("board_id", "pos"), "board_id")
         return open_.groupBy("sprint_id").agg(F.max_by(F.struct("name", "state", "board_id"), "pos").alias("s")).select("sprint_id", "s.*")
 
+    def open_sprints(self) -> DataFrame:
+        """project, sprint_id, name, state, pos of the open sprints of all projects' boards, each id once a project."""
+        boards = self.table("board").where("type = 'scrum'").select("board_id", F.col("project_key").alias("project"), "pos")
+        open_ = self.table("sprint").where(F.col("state").isin("active", "future")).select("sprint_id", "name", "state", "board_id").join(boards, "board_id")
+        return open_.groupBy("project", "sprint_id").agg(F.max_by(F.struct("name", "state", "pos"), "pos").alias("s")).select("project", "sprint_id", "s.*")
+
     def components(self, project: str) -> DataFrame:
         return self.table("component").where(F.col("project_key") == project).select("id", "name")
 

@@ -139,6 +139,33 @@ def test_bind_and_convert(spark):
     assert "customfield_1: not a valid number" in out.errors
 
 
+def test_array_items_and_directories_are_converted(spark):
+    kinds = {"comp": ("array", "component"), "nums": ("array", "number"), "texts": ("array", "string"), "odd": ("array", "weird"), "who": ("user", None), "team": ("array", "user"), "sp": ("sprint", None), "cas": ("option-with-child", None)}
+    fields = spark.createDataFrame([("P", "Task", i, k, k, *v) for i, (k, v) in enumerate(kinds.items())], FIELDS)
+    head = {"Project": "P", "Issue Type": "tasc"}
+    recs = records(
+        spark,
+        {**head, "comp": ["api", {"id": "9"}, "Db"], "nums": ["1", 2], "texts": "a, b", "who": "crl smith", "team": "asmith, bsmith", "sp": "sprint one", "cas": "Up -> Left"},
+        {**head, "comp": "api, nope, never", "nums": ["1", "x"], "odd": ["a"], "who": "unlike", "team": [], "sp": 1.5, "cas": {"parent": "Up", "child": "No"}},
+        {**head, "comp": [], "texts": ["a", 1, None], "who": {"name": "bsmith"}, "sp": "17", "cas": "Left"},
+    )
+    tables = {
+        "field": fields, "option": spark.createDataFrame([("comp", "1", "API"), ("comp", "2", "DB"), ("project", "7", "P")], "field_id string, id string, name string"), "user": spark.createDataFrame(USERS, USER),
+        "cascade": spark.createDataFrame([("cas", "u", "Up", "l", "Left"), ("else", "v", "Up", "m", "Left")], "field_id string, parent_id string, parent string, child_id string, child string"),
+        "issue_type": spark.createDataFrame([("P", "3", "Task", False), ("Q", "4", "Task", False)], "project_key string, id string, name string, subtask boolean"),
+        "board": spark.createDataFrame([(1, 0, "P", "scrum"), (2, 1, "Q", "scrum")], "board_id bigint, pos bigint, project_key string, type string"),
+        "sprint": spark.createDataFrame([(5, "Sprint One", "future", 1), (6, "Sprint One", "active", 2)], "sprint_id bigint, name string, state string, board_id bigint"),
+    }
+    # The record's type names no field of its own, so that the fields of "tasc" are the schema's.
+    tables["field"] = fields.withColumn("issue_type", F.lit("tasc"))
+    got = {r.row_index: (json.loads(r.payload), r.errors.split("; ") if r.errors else []) for r in Engine(spark, Catalog(spark, tables=tables)).payloads(recs).collect()}
+    base = {"project": {"id": "7"}, "issuetype": {"id": "3", "name": "Task", "subtask": False}}
+    assert got[0] == ({**base, "comp": [{"id": "1"}, {"id": "9"}, {"id": "2"}], "nums": [1, 2], "texts": ["a", "b"], "who": {"name": "csmith"}, "team": [{"name": "asmith"}, {"name": "bsmith"}], "sp": 5, "cas": {"id": "u", "child": {"id": "l"}}}, [])
+    assert got[1][1] == ["cas: not_found", "comp: item 1: not_found", "nums: item 1: not a valid number", "odd: no converter for type weird", "sp: not a valid sprint", "who: not_found"]
+    assert got[1][0]["comp"] == [{"id": "1"}, "nope", "never"] and got[1][0]["team"] == [] and got[1][0]["nums"] == ["1", "x"]
+    assert got[2] == ({**base, "comp": [], "texts": ["a", "1", ""], "who": {"name": "bsmith"}, "sp": 17, "cas": {"id": "u", "child": {"id": "l"}}}, [])
+
+
 def test_engine_writes_levels_and_retries(spark, tmp_path):
     fields = spark.createDataFrame([("P", "Task", 0, "summary", "Summary", "string", None), ("P", "Task", 1, "parent", "Parent", "any", None)], FIELDS)
     engine = Engine(spark, Catalog(spark, tables={"field": fields}), ManifestStore(spark, str(tmp_path / "m")), Options())
