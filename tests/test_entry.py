@@ -1,5 +1,8 @@
 """The registered queries against their SQL, on the driver's smallest tables."""
 
+import shutil
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -42,3 +45,13 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(registry.QUERIES) <= set(e.queries()) and set(registry.SQL) <= set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("without", [("loomspar/llm", "tests/llm"), ("loomspar/llm", "tests/llm", "corpus_pipeline.py")])
+def test_entry_stands_without_the_training_data_operators(tmp_path, without):
+    root = Path(__file__).resolve().parent.parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *[Path(w).name for w in without]))
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert set(s) <= set(q) and not [n for n in q if n[:2] == 'op' and n[2].isdigit()] and 'pipeline' not in q; print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert done.returncode == 0 and int(done.stdout) == len(registry.QUERIES), done.stderr
