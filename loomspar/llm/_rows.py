@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -29,6 +30,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """64 bits of all of a row's columns; those with maps or variants, which have no hash, count as their JSON text."""
+    parts = [F.col(f"`{f.name}`") if _hashable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema.fields]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
 def chunks(batch: pa.RecordBatch, by: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of about `most` bytes of the column `by`; a longer value is a slice of its own. No row is lost."""
     at, size = 0, 0

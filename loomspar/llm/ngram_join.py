@@ -7,7 +7,9 @@
    between blocks, never links; at most FREQUENT are told apart, which bounds what is broadcast. Blocks are cut at gaps
    in their sets' sizes that no link can span.
 3. The blocks that share a first member are one group, since near copies meet in many blocks of the same members. A
-   group of more than STRIP members is cut into pairs of strips.
+   group of more than STRIP members is cut into strips, each with the group's PIVOTS besides. What a strip links with
+   a pivot is linked through it; only the members outside the group's largest component so far are then compared with
+   the other strips. So one huge group of near copies costs about its members times the pivots, not their square.
 4. Signature trees over each group, in two passes. A leaf holds a set's token bitmap and size, a node the OR of its
    children's bitmaps and the range of their sizes. Both sides of the dual traversal descend only where the largest
    overlap possible, from the bits in common and the sizes, still reaches the threshold. The first pass, with hashed
@@ -16,16 +18,18 @@
    compared again, so a group gives at most one link less than its members.
 5. Components by alternating large-star and small-star rounds, cut off by checkpoints.
 
-Set equality and overlap are those of 64-bit shingle hashes. Bitmaps only prune; no candidate is dropped otherwise.
+Set equality and overlap are those of 64-bit shingle hashes. Bitmaps only prune, at any threshold: those of larger sets
+are folded onto the smaller ones' width. No candidate is dropped otherwise.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set and is linked with nothing; a text with fewer
 words than a shingle is one shingle, unequal to those of other lengths; null ids never name a component
-that has another id; repeated rows are one class; other columns are ignored by links().
+that has another id; repeated rows are one class; other columns are ignored by links(). keep_one() judges rows, not ids:
+rows of one id with texts that aren't linked all stay, those without words too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -35,17 +39,21 @@ from pyspark.sql import functions as F
 
 from loomspar.llm._exchange import group_count, pack, unpack
 from loomspar.llm._lineage import cut
-from loomspar.llm._rows import chunks, free_name, small_batches
+from loomspar.llm._rows import chunks, free_name, row_hash, small_batches
 from loomspar.llm._tokens import U, mix, signed, texts_of, whole, windows, words
 
 FREQUENT = 1 << 21
 #: A shingle is frequent from this count on, or from such a share of all shingles that no more than FREQUENT reach it.
 FREQUENT_FROM = 16
-#: Within one slice of documents, from this count on a shingle is reported to the corpus count.
-SLICE_BYTES, SLICE_FROM = 2 << 20, 2
-LEAF, STRIP, BLOCK_PIECE, PARTS = 16, 4096, 1 << 16, 64
-#: Groups of documents to a bucket of shingles.
-BUCKET_GROUPS = 4
+SLICE_BYTES = 2 << 20
+#: Shingles that a task counts at once. When there are more, all lose what the first beyond has: so a count falls short by
+#: at most the task's shingles / HELD, and no shingle goes unseen that is more frequent than that.
+HELD, HELD_SLICES, REPORT_FROM = 1 << 20, 4, 2
+LEAF, STRIP, PIVOTS, BLOCK_PIECE, PARTS = 16, 2048, 4, 1 << 16, 64
+#: Groups of documents to a bucket of shingles, and the most prefix shingles that a bucket holds on average.
+BUCKET_GROUPS, BUCKET_ENTRIES = 4, 1 << 22
+#: Groups beyond STRIP are told to the executors up to this number, else joined.
+TOLD_GROUPS = 1 << 17
 #: Pairs of nodes looked at together, and bytes of a group's exact bitmaps; beyond these, shingles share bits and overlaps
 #: are counted from the sets.
 PAIRS, BITMAP_BYTES = 1 << 16, 32 << 20
@@ -115,14 +123,31 @@ def _members(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(size), pa.array(signed(marks), mask=size == 0)], names=["id", "key", "n", "mark"])
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys with their counts added up, the most frequent HELD of them, less the count of the first beyond."""
+    key, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    count = np.bincount(of, np.concatenate([c for _, c in parts]), minlength=len(key)).astype(np.int64)
+    if len(key) > HELD:
+        count -= np.partition(count, len(key) - HELD - 1)[len(key) - HELD - 1]
+        key, count = key[count > 0], count[count > 0]
+    return key, count
+
+
 def _counts(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's shingles with their counts, and under a null key the number of all. Reported are those that occur at least
+    half as often as a frequent one does on average, and twice."""
+    parts, total = [(np.empty(0, U), np.empty(0, np.int64))], 0
     for _, keys, _, off, marks in _slices(batches, rule.words):
         size = np.diff(off)
         first = _first_of(marks, size)
         mine = np.concatenate([np.arange(off[i], off[i + 1]) for i in first.tolist()] or [np.empty(0, np.int64)]).astype(np.int64)
-        key, count = np.unique(keys[mine], return_counts=True)
-        often = count >= SLICE_FROM
-        yield pa.RecordBatch.from_arrays([pa.array([None, *signed(key[often]).tolist()], pa.int64()), pa.array([len(mine), *count[often].tolist()], pa.int64())], names=["key", "n"])
+        parts.append(np.unique(keys[mine], return_counts=True))
+        total += len(mine)
+        if len(parts) > HELD_SLICES:
+            parts = [_merged(parts)]
+    key, count = _merged(parts)
+    often = count >= max(REPORT_FROM, total // (2 * FREQUENT))
+    yield pa.RecordBatch.from_arrays([pa.array([None, *signed(key[often]).tolist()], pa.int64()), pa.array([total, *count[often].tolist()], pa.int64())], names=["key", "n"])
 
 
 def _frequent(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -339,25 +364,32 @@ def traverse(rule: Rule, x: Tree, y: Tree, wanted) -> Iterator[tuple[np.ndarray,
 
 
 def _promising(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Members of a group whose hashed bitmaps leave room for a link with another member."""
-    mark, size = table["mark"].to_numpy(), table["n"].to_numpy()
+    """Members of a cell whose hashed bitmaps leave room for a link with a member that has another label."""
+    size = table["n"].to_numpy()
+    _, label = np.unique(table["label"].to_numpy(), return_inverse=True)
     maps = [np.frombuffer(b, np.uint8) for b in table["signature"].to_pylist()]
     width = np.array([len(m) for m in maps])
-    found = np.zeros(len(mark), bool)
+    found = np.zeros(len(size), bool)
 
     def tree(rows: np.ndarray, to: int) -> tuple[Tree, np.ndarray]:
-        """Bitmaps twice as wide are folded onto the narrower ones."""
+        """Wider bitmaps are folded onto the narrower ones: a shingle's bit is its hash modulo the width."""
         rows = rows[np.argsort(size[rows], kind="stable")]
-        m = np.stack([maps[r] if len(maps[r]) == to else maps[r][:to] | maps[r][to:] for r in rows.tolist()]).view(np.uint64)
+        m = np.stack([maps[r] if len(maps[r]) == to else np.bitwise_or.reduce(maps[r].reshape(-1, to), 0) for r in rows.tolist()]).view(np.uint64)
         return Tree(m, size[rows], size[rows] - np.bitwise_count(m).sum(1, dtype=np.int64)), rows
 
-    for w in np.unique(width).tolist():
+    widths = np.unique(width).tolist()
+    for w in widths:
         own, rows = tree(np.flatnonzero(width == w), w)
-        wider = np.flatnonzero(width == 2 * w)
-        for other, others in [(own, rows)] + ([tree(wider, w)] if len(wider) else []):
-            for i, j in traverse(rule, own, other, lambda i, j: (~found[rows[i]] | ~found[others[j]]) & (mark[rows[i]] != mark[others[j]])):
+        trees = [(own, rows)]
+        for v in widths:
+            wider = np.flatnonzero((width == v) & (rule.num * size <= rule.den * int(size[rows].max()))) if v > w else ()
+            if len(wider):
+                trees.append(tree(wider, w))
+        for other, others in trees:
+            for i, j in traverse(rule, own, other, lambda i, j: (~found[rows[i]] | ~found[others[j]]) & (label[rows[i]] != label[others[j]])):
                 found[rows[i]] = found[others[j]] = True
-    return pa.table({"lead": pa.array(np.full(found.sum(), key[0].as_py()), pa.int64()), "cell": pa.array(np.full(found.sum(), key[1].as_py()), pa.int32()), "mark": pa.array(mark[found])})
+    lead, cell = (np.full(found.sum(), k.as_py()) for k in key)
+    return pa.table({"lead": pa.array(lead, pa.int64()), "cell": pa.array(cell, pa.int32()), "mark": table["mark"].filter(pa.array(found)), "label": table["label"].filter(pa.array(found))})
 
 
 def _bitmaps(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -379,15 +411,15 @@ def _bitmaps(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, bool]:
 
 
 def _linked(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links that connect all members of a group that links connect."""
+    """Links that connect all members of a cell that links connect, and that their labels don't."""
     mark, first = np.unique(table["mark"].to_numpy(), return_index=True)
-    blobs = table["set"].to_pylist()
+    blobs, label = table["set"].to_pylist(), table["label"].to_numpy()[first]
     each = [_plain_set(blobs[k]) for k in first.tolist()]
     order = np.argsort([len(e) for e in each], kind="stable")
-    each, mark = [each[k] for k in order.tolist()], mark[order]
+    each, mark, label = [each[k] for k in order.tolist()], mark[order], label[order]
     size = np.array([len(e) for e in each])
     maps, spare, exact = _bitmaps(each)
-    root = np.arange(len(each))  # a label for each component so far
+    _, root = np.unique(label, return_inverse=True)  # a label for each component so far
     found = []
     own = Tree(maps, size, spare)
     for i, j in traverse(rule, own, own, lambda i, j: root[i] != root[j]):
@@ -414,21 +446,57 @@ def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
     members = cut(texts.mapInArrow(partial(_members, rule), "id long, key long, n long, mark long"))
     classes = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     shared = texts.sparkSession.sparkContext.broadcast(_frequent(texts, rule))
-    buckets = group_count(members.count() // BUCKET_GROUPS)
+    n_rows, entries = members.agg(F.count(F.lit(1)), F.sum(F.when(F.col("mark").isNotNull(), F.col("n") - F.ceil(F.col("n") * rule.num / rule.den) + 1))).first()
+    buckets = max(group_count(n_rows // BUCKET_GROUPS), -(-(entries or 0) // BUCKET_ENTRIES))
     blobs = texts.mapInArrow(partial(_prefixes, rule, shared, buckets), "b int, blob binary")
     blocks = blobs.groupBy("b").applyInArrow(_by_group(_blocks, rule), "lead long, part int, members binary")
     pairs = cut(blocks.groupBy("lead", "part").applyInArrow(_union, "lead long, mark long").distinct())
-    strips = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / STRIP).cast("int").alias("strips")).where("strips > 1")
-    own = F.pmod(F.xxhash64("mark"), F.col("strips")).cast("int")
-    cell = lambda other: F.least(own, other) * F.col("strips") + F.greatest(own, other)
-    cells = pairs.join(strips, "lead", "left").select("lead", "mark", F.explode(F.when(F.col("strips").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("strips") - 1), cell))).alias("cell"))
 
-    reps = classes.select("mark", "key")
-    signatures = _describe(texts, reps, pairs, rule, lambda keys: _signature(keys).tobytes(), "signature")
+    large, told = _large(pairs)
+    known = pairs.join(told(large), "lead", "left")
+    strip = lambda n: F.pmod(F.xxhash64("mark"), F.col(n)).cast("int")
+    cells = known.select("lead", F.coalesce(strip("strips"), F.lit(0)).alias("cell"), "mark")
+    spread = lambda rows, n: rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+    pivots = spread(large.withColumn("mark", F.explode("pivots")), "strips").select("lead", "cell", "mark")
+    found = _match(texts, classes, cells.unionByName(pivots).distinct().withColumn("label", F.col("mark")), rule)
+    if large.isEmpty():
+        return members, found
+    labels = components(found)
+    inside = cut(pairs.join(told(large.drop("pivots")), "lead").join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn("label", F.coalesce("component", "mark")))
+    main = inside.groupBy("lead", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("lead").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
+    rest = cut(main.where("all > most").select("lead", "main", F.ceil((F.col("all") - F.col("most")) / STRIP).cast("int").alias("others")))
+    if rest.isEmpty():
+        return members, found
+    every = inside.join(told(rest), "lead")
+    # A cell is a strip of the members outside the main component and a strip of all members.
+    left = spread(every.where("label <> main"), "strips").withColumn("cell", strip("others") * F.col("strips") + F.col("cell"))
+    right = spread(every, "others").withColumn("cell", F.col("cell") * F.col("strips") + strip("strips"))
+    both = left.unionByName(right).select("lead", F.col("cell").cast("int").alias("cell"), "mark", "label").distinct()
+    return members, cut(found.unionByName(_match(texts, classes, both, rule)).distinct())
+
+
+def _large(pairs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Groups of more than STRIP members (lead, strips, pivots: the least members by some hashes), and how to join them."""
+    salted = [F.min(F.struct(F.xxhash64(F.lit(i), "mark"), F.col("mark")))["mark"].alias(f"p{i}") for i in range(PIVOTS)]
+    found = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / STRIP).cast("int").alias("strips"), *salted).where("strips > 1")
+    large = cut(found.select("lead", "strips", F.array_distinct(F.array("lead", *[f"p{i}" for i in range(PIVOTS)])).alias("pivots")))
+    return large, F.broadcast if large.count() <= TOLD_GROUPS else lambda rows: rows
+
+
+def _match(texts: DataFrame, classes: DataFrame, cells: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between members of the same cells that have other labels, as many as connect what is linked."""
+    cells, reps = cut(cells), classes.select("mark", "key")
+    signatures = _describe(texts, reps, cells, rule, lambda keys: _signature(keys).tobytes(), "signature")
     known = signatures.join(classes.select("mark", "n"), "mark")
-    promising = cut(cells.join(known, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_promising, rule), "lead long, cell int, mark long"))
+    promising = cut(cells.join(known, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_promising, rule), "lead long, cell int, mark long, label long"))
     sets_ = _describe(texts, reps, promising, rule, _packed_set, "set")
-    return members, cut(promising.join(sets_, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_linked, rule), "a long, b long").distinct())
+    return cut(promising.join(sets_, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_linked, rule), "a long, b long").distinct())
+
+
+def _labels(members: DataFrame, found: DataFrame) -> DataFrame:
+    """mark and label (one for all marks that links connect)."""
+    marks = members.where("mark IS NOT NULL").select("mark").distinct()
+    return marks.join(components(found).withColumnRenamed("node", "mark"), "mark", "left").select("mark", F.coalesce("component", "mark").alias("label"))
 
 
 def group(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -443,12 +511,23 @@ def group(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
 
 
 def keep_one(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs' rows, one of each group: that of its smallest id (of rows with one id, any one). Rows without id stay."""
-    name = free_name(docs, "kept_id")
-    named = docs.where(F.col(id_col).isNotNull())
-    found = group(named, rule, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    kept = named.join(found, F.col(id_col) == F.col(name), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """docs' rows, one of each group of linked ones: that of the smallest id (null last), of rows with one id that of the
+    smallest hash of all columns. Rows without words are in no group and stay. Equal rows are one."""
+    first, second = free_name(docs, "row_h"), free_name(docs, "row_g")
+    rows = docs.withColumns({first: row_hash(docs), second: row_hash(docs, 1)})
+    has_words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    full = rows.where(has_words)
+    # links() passes a row's hashes through as its id, so that its class comes back with the row, not with its id.
+    named = full.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(first).alias("h"), F.col(second).alias("g"))
+    members, found = links(named.select(F.col("h").alias("id"), "text"), rule, "id", "text")
+    classes = members.where("mark IS NOT NULL").select(F.col("id").alias("h"), "mark").distinct()
+    # The least row of each set, then of each group: no join has a key that copies share.
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "g")).alias("r")
+    of_mark = named.select("id", "h", "g").distinct().join(classes, "h").groupBy("mark").agg(least)
+    of_label = of_mark.join(_labels(members, found), "mark").groupBy("label").agg(F.min("r").alias("r"))
+    leaders = of_label.select(F.col("r.h").alias("leader_h"), F.col("r.g").alias("leader_g"))
+    one = full.dropDuplicates([first, second]).join(leaders, (F.col(first) == F.col("leader_h")) & (F.col(second) == F.col("leader_g")), "left_semi")
+    return one.unionByName(rows.where(~has_words)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ def brute_groups(docs, rule):
     return [(doc, len(sets[i]), least.get(find(i), doc)) for i, (doc, _) in enumerate(docs)]
 
 
-@pytest.mark.parametrize(("seed", "rule"), [(4, Rule()), (5, Rule(5, 80, 100)), (6, Rule(1, 50, 100))])
+@pytest.mark.parametrize(("seed", "rule"), [(4, Rule()), (5, Rule(5, 80, 100)), (6, Rule(1, 50, 100)), (7, Rule(2, 20, 100)), (8, Rule(1, 35, 100)), (9, Rule(3, 95, 100))])
 def test_ngram_join(spark, monkeypatch, seed, rule):
     monkeypatch.setattr(ngram_join, "LEAF", 2)
     docs = [d for d in some_docs(seed, 90)] + SPECIAL
@@ -111,7 +111,7 @@ def test_ngram_join_cut_into_strips(spark, monkeypatch):
     """The same components when groups are cut, frequent shingles gridded, ids joined and bits shared."""
     docs = some_docs(8, 90)
     expected = sorted(brute_groups(docs, Rule()), key=str)
-    for name, value in (("STRIP", 3), ("TOLD_IDS", 0), ("BITMAP_BYTES", 0), ("FREQUENT_FROM", 2), ("SLICE_FROM", 1), ("BLOCK_ROWS", 2), ("BLOCK_PIECE", 2), ("PAIRS", 5), ("BUCKET_GROUPS", 1)):
+    for name, value in (("STRIP", 3), ("TOLD_IDS", 0), ("BITMAP_BYTES", 0), ("FREQUENT_FROM", 2), ("REPORT_FROM", 1), ("HELD", 40), ("HELD_SLICES", 1), ("SLICE_BYTES", 2000), ("PIVOTS", 1), ("TOLD_GROUPS", 0), ("BUCKET_ENTRIES", 100), ("BLOCK_ROWS", 2), ("BLOCK_PIECE", 2), ("PAIRS", 5), ("BUCKET_GROUPS", 1)):
         monkeypatch.setattr(ngram_join, name, value)
     assert sorted(map(tuple, ngram_join.group(spark.createDataFrame(docs, DOCS)).collect()), key=str) == expected
 
@@ -129,11 +129,49 @@ def test_hub_of_near_copies(spark):
     assert sorted(map(tuple, got)) == sorted(brute_groups(docs, Rule()))
 
 
-def test_keep_one(spark):
-    docs = [(3, "a b c d e f"), (1, "A b c d e f"), (1, "a b c d e f"), (2, "other words are here now"), (None, "a b c d e f"), (5, None)]
-    df = spark.createDataFrame(docs, DOCS).withColumn("kept_id", F.lit(0))
-    got = ngram_join.keep_one(df, Rule(5, 80, 100))
-    assert sorted([r.doc_id for r in got.collect()], key=str) == [1, 2, 5, None] and got.columns == df.columns
+def test_links_between_sets_of_unlike_sizes(spark):
+    """Bitmaps of all widths meet: at low thresholds a set links with one several times its size."""
+    w = [f"q{i}" for i in range(400)]
+    docs = [(1, " ".join(w[:40])), (2, " ".join(w[:135])), (3, " ".join(w[:340])), (4, " ".join(w[300:])), (5, " ".join(w[390:] + ["z"] * 3))]
+    for rule in (Rule(4, 25, 100), Rule(4, 28, 100), Rule(4, 10, 100), Rule(4, 5, 100)):
+        got = ngram_join.group(spark.createDataFrame(docs, DOCS), rule).collect()
+        assert sorted(map(tuple, got)) == sorted(brute_groups(docs, rule))
+
+
+def brute_kept(docs, rule):
+    """Rows that stay: of a group its least row, and all rows without words."""
+    groups = brute_groups([(i, t) for i, (_, t) in enumerate(docs)], rule)
+    blank = [d for d in docs if not words(d[1])]
+    return blank, {g for i, n, g in groups if n}
+
+
+@pytest.mark.parametrize(("seed", "strip"), [(11, 2048), (12, 3)])
+def test_keep_one(spark, monkeypatch, seed, strip):
+    monkeypatch.setattr(ngram_join, "STRIP", strip)
+    rule, r = Rule(5, 80, 100), random.Random(seed)
+    docs = [(r.choice([1, 1, 2, 3, None, i]), t) for i, (_, t) in enumerate(some_docs(seed, 80))] + SPECIAL
+    df = spark.createDataFrame(docs, DOCS).withColumns({"row_h": F.lit(0), "tags": F.create_map(F.lit("k"), F.col("text"))})
+    got = ngram_join.keep_one(df, rule)
+    rows = [(x.doc_id, x.text) for x in got.collect()]
+    where = {}
+    for i, g, in enumerate(g for _, _, g in brute_groups([(i, t) for i, (_, t) in enumerate(docs)], rule)):
+        where.setdefault(docs[i], set()).add(g)
+    blank, groups = brute_kept(docs, rule)
+    full = [x for x in rows if words(x[1])]
+    assert got.columns == df.columns and sorted(map(str, blank)) == sorted(str(x) for x in rows if not words(x[1]))
+    assert sorted(g for x in full for g in where[x]) == sorted(groups)  # one row of each group
+    least = {}
+    for d in docs:
+        for g in where[d] & groups:
+            least[g] = min(least.get(g, (True, 0)), (d[0] is None, d[0] or 0))
+    assert all((x[0] is None, x[0] or 0) == least[g] for x in full for g in where[x])
+
+
+def test_keep_one_keeps_unlinked_rows_of_one_id(spark):
+    r = random.Random(2)
+    docs = [(7, " ".join(f"x{r.randrange(10**6)}" for _ in range(30))) for _ in range(200)]
+    got = ngram_join.keep_one(spark.createDataFrame(docs + docs[:50], DOCS), Rule(5, 80, 100)).collect()
+    assert sorted(map(tuple, got)) == sorted(docs)
 
 
 def test_candidates_lose_no_link():
