@@ -10,12 +10,15 @@ byte ("end"), or that with most of its bytes ("most"; of equal shares the first)
 the counts of fields, and of sections, each add up to the document's count.
 
 Defined cases: a null field is empty, and keeps its place and line break; a section is a line, so an empty text has one
-empty section; texts of any length are encoded whole; repeated rows count apiece; other columns may stay (keep).
+empty section; texts of any length are encoded whole; repeated rows count apiece; other columns may stay (keep). Runs of
+white space of RUN characters or more, which the pattern's engine can't take, are cut out where the pattern cuts anyway:
+all of a run but its last character, or the whole run at the end of the text, is one piece to be merged.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from functools import partial
 
 import numpy as np
@@ -29,6 +32,10 @@ from loomspar.llm._tokens import texts_of
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: How texts are cut before merging; belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+RUN = 1024
+#: The characters that the pattern takes as \s (Unicode's White_Space).
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_RUNS = re.compile(f"{_SPACE}{{{RUN},}}")
 MAX_VOCABULARY_BYTES = 32 << 20
 RULES = ("start", "end", "most")
 RESULT = "struct<n_tokens:long,field_tokens:array<long>,n_sections:long,section_tokens:array<long>,n_crossing:long>"
@@ -51,7 +58,17 @@ class Encoder:
         self.length = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.length[rank] = len(token)
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._cut_and_merge, self._merge = encoding.encode_ordinary, encoding._encode_single_piece
+
+    def encode(self, text: str) -> list[int]:
+        out, at = [], 0
+        for m in _RUNS.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            out += self._cut_and_merge(text[at : m.start()])
+            out += self._merge(text[m.start() : end].encode())
+            at = end
+        return out + self._cut_and_merge(text[at:]) if at else self._cut_and_merge(text)
 
     def ends(self, text: bytes) -> np.ndarray:
         """Byte offset after each token."""

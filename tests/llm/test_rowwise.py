@@ -1,5 +1,6 @@
 """Quality rules, decontamination, HTML extraction, token counts and chat formatting against plain versions."""
 
+import base64
 import hashlib
 import json
 import random
@@ -8,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from loomspar.llm import _crf, chat_format, decontamination, html_extraction, quality_rules, token_counts
@@ -204,6 +206,59 @@ def test_offsets_cover_the_text():
         assert (ends[-1] if len(ends) else 0) == len(text.encode()) and (np.diff(np.concatenate(([0], ends))) > 0).all()
 
 
+def test_long_runs_are_cut_where_the_pattern_cuts(monkeypatch):
+    encoder = token_counts.Encoder(token_counts.read_vocabulary(token_counts.VOCABULARY))
+    r = random.Random(5)
+    pieces = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "\u3000", "a", "Zé", "7", "'s", "!?", "'", "x1"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randrange(40))) for _ in range(3000)]
+    plain = [encoder._cut_and_merge(t) for t in texts]
+    monkeypatch.setattr(token_counts, "_RUNS", re.compile(token_counts._RUNS.pattern.replace(str(token_counts.RUN), "2")))
+    assert [encoder.encode(t) for t in texts] == plain
+
+
+@pytest.mark.parametrize("c", [" ", "\n", "\u3000", "a", "7", "=", "é"])
+def test_five_megabytes_of_one_character(c):
+    encoder = token_counts.Encoder(token_counts.read_vocabulary(token_counts.VOCABULARY))
+    text = ("x" + c * (5_000_000 // len(c.encode())) + "y").encode()
+    ends = encoder.ends(text)
+    assert ends[-1] == len(text) and (np.diff(ends) > 0).all()
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_attribution_equals_that_of_single_bytes(spark, rule):
+    r = random.Random(7)
+    texts = [(i, r.choice([None, "", "the", " the\n"]), "".join(r.choice(["\n", " the", "é", "of the\n", "  ", "ing", "x"]) for _ in range(r.randrange(30)))) for i in range(40)] + [(41, None, None), (41, None, None)]
+    df = spark.createDataFrame(texts, "doc_id long, source string, text string")
+    out, name = token_counts.count_tokens(df, ["source", "text"], rule=rule, keep=["doc_id"])
+    got = [(x.doc_id, x[name].n_tokens, x[name].field_tokens, x[name].section_tokens, x[name].n_crossing) for x in out.collect()]
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, token_counts.read_vocabulary(token_counts.VOCABULARY).splitlines())}
+    plain = tiktoken.Encoding("plain", pat_str=token_counts.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def owner(section):
+        """The section of a token from the sections of its bytes."""
+        if rule == "most":
+            c = Counter(section)
+            return min(c, key=lambda x: (-c[x], x))
+        return section[0 if rule == "start" else -1]
+
+    want = []
+    for doc, source, text in texts:
+        parts = [(source or "").encode(), (text or "").encode()]
+        whole = b"\n".join(parts)
+        field = [0] * (len(parts[0]) + 1) + [1] * len(parts[1])
+        line = [whole[:i].count(b"\n") for i in range(len(whole))]
+        fields, lines, crossing, at = [0, 0], [0] * (whole.count(b"\n") + 1), 0, 0
+        tokens = plain.encode_ordinary(whole.decode())
+        for t in tokens:
+            n = len(plain.decode_single_token_bytes(t))
+            fields[owner(field[at : at + n])] += 1
+            lines[owner(line[at : at + n])] += 1
+            crossing += len(set(line[at : at + n])) > 1
+            at += n
+        want.append((doc, len(tokens), fields, lines, crossing))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_rules_for_crossing_tokens():
     ends, bounds = np.array([3, 8, 10]), np.array([0, 4, 10])
     assert token_counts.attribute(ends, bounds, "start")[0].tolist() == [2, 1]
