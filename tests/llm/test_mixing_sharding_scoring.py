@@ -112,37 +112,56 @@ def check_shards(rows, n_shards, near):
     return by
 
 
-def test_sharding(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RANGE_ROWS", 16)
+@pytest.mark.parametrize(("n_shards", "part"), [(8, 64 << 20), (3, 20000), (1, 40000)])
+def test_sharding(spark, monkeypatch, n_shards, part):
+    monkeypatch.setattr(sharding, "PART_BYTES", part)
     docs = corpus(3, 900)
-    df = spark.createDataFrame(docs, DOCS).withColumns({"shard": F.lit("clash"), "H": F.lit(1)})
-    out, c = sharding.assign(df)
-    rows = out.select("doc_id", "text", F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot"), F.col(c["text_crc32"]).alias("crc")).collect()
+    df = spark.createDataFrame(docs, DOCS).withColumns({"shard": F.lit("clash"), "H": F.lit(1), "tags": F.create_map(F.lit("k"), F.col("text"))})
+    out, c = sharding.assign(df, n_shards)
+    got = out.withColumn("at", F.monotonically_increasing_id()).select("doc_id", "text", F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot"), F.col(c["text_crc32"]).alias("crc"), "at")
+    rows = got.collect()
     assert len(rows) == len(docs) and set(df.columns) <= set(out.columns)
     for r in rows:
         raw = (r.text or "").encode()
         assert r.size == len(raw) + 1 and r.crc == zlib.crc32(raw)
-    check_shards(rows, 8, 0.1)
+    check_shards(rows, n_shards, 0.03)
     shards = defaultdict(set)
     for r in rows:
         shards[r.crc].add(r.shard)
     assert all(len(s) == 1 for s in shards.values())
+    assert [(r.shard, r.slot) for r in sorted(rows, key=lambda r: r.at)] == sorted((r.shard, r.slot) for r in rows)  # exchanged into order
 
 
-def test_a_text_too_large_for_a_shard_is_split(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RANGE_ROWS", 16)
+@pytest.mark.parametrize("part", [64 << 20, 1000])
+def test_a_text_too_large_for_a_shard_is_split(spark, monkeypatch, part):
+    monkeypatch.setattr(sharding, "PART_BYTES", part)
     docs = [(i, "same text again", "a") for i in range(600)] + [(1000 + i, f"text number {i}", "a") for i in range(200)]
     out, c = sharding.assign(spark.createDataFrame(docs, DOCS))
-    rows = out.select(F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot")).collect()
+    rows = out.select("text", F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot")).collect()
     check_shards(rows, 8, 0.05)
 
 
+def test_texts_that_fit_a_shard_stay_whole(spark):
+    """Copies that weigh most of a shard: whole, and the shards still even."""
+    docs = [(1000 * g + i, f"copies of the text {g}", "a") for g, n in enumerate([90, 80, 70, 40, 40, 30, 5, 3]) for i in range(n)] + [(9000 + i, f"a text of its own {i}", "a") for i in range(400)]
+    out, c = sharding.assign(spark.createDataFrame(docs, DOCS))
+    rows = out.select("text", F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot")).collect()
+    check_shards(rows, 8, 0.03)
+    assert all(len({r.shard for r in rows if r.text == t}) == 1 for t in {r.text for r in rows})
+
+
+def test_many_shards(spark):
+    out, c = sharding.assign(spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")), 1000)
+    rows = out.select(F.col(c["size"]).alias("size"), F.col(c["shard"]).alias("shard"), F.col(c["slot"]).alias("slot")).collect()
+    check_shards(rows, 1000, 0.6)  # a shard has four rows
+
+
 def test_splitters_are_exact_enough(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("h"), F.xxhash64(F.lit(1), "id").alias("d"), (F.col("id") % 7 + 1).alias("w"))
-    first = sharding.splitters(keys, 5)
-    rows = keys.select("w", sharding.shard_of(F.col("h"), F.col("d"), first).alias("s")).groupBy("s").agg(F.sum("w").alias("w")).collect()
-    total = sum(r.w for r in rows)
-    assert first == sorted(first) and len(rows) == 5 and all(abs(r.w - total / 5) <= 0.02 * total / 5 for r in rows)
+    total = keys.agg(F.sum("w")).first()[0]
+    first = [0, *sharding.splitters(keys, [total * i / 5 for i in range(1, 5)], 0.005 * total / 5)]
+    rows = keys.select("w", sharding.place_of(F.col("h"), F.col("d"), first).alias("s")).groupBy("s").agg(F.sum("w").alias("w")).collect()
+    assert first == sorted(first) and sorted(r.s for r in rows) == list(range(5)) and all(abs(r.w - total / 5) <= 0.02 * total / 5 for r in rows)
 
 
 # Scoring.
