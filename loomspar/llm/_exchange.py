@@ -3,7 +3,9 @@
 Operators that ask something about every window or n-gram of a corpus would shuffle a row per occurrence. Here each
 group of documents asks once per distinct key, as sorted 64-bit hashes in one blob per bucket; the bucket answers in
 the same order, so no key travels back. A key that a third of all documents hold is asked once per group, which bounds
-what one bucket reads. Groups hold about max(2048, sqrt(n)) documents, so blobs number about n at most.
+what one bucket reads. Groups are dealt by bytes of text: about sqrt(2048 bytes) of the whole, so that blobs grow as
+the corpus does, within GROUP_BYTES; that bounds a task's memory whatever the corpus. Beyond some 2 TB groups stay at the
+larger bound and blobs become smaller (about a dozen keys at 100 TB, still fewer rows than one a key).
 """
 
 from __future__ import annotations
@@ -21,12 +23,19 @@ from loomspar.llm._rows import small_batches
 
 U = np.uint64
 GROUP_DOCS = 2048
+#: The least and the most bytes of text in a group, on average.
+GROUP_BYTES = (4 << 20, 64 << 20)
 
 
 def group_count(n_docs: int) -> int:
     return max(1, math.ceil(n_docs / max(GROUP_DOCS, math.isqrt(n_docs))))
 
 
+def groups_of_bytes(n_bytes: int) -> int:
+    low, high = GROUP_BYTES
+    return max(1, math.ceil(n_bytes / min(max(low, math.isqrt(2048 * n_bytes)), high)))
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of fixed-width integers as compressed byte planes."""
     parts = []
@@ -63,8 +72,9 @@ def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(keys, lows).tolist() + [len(keys)]
 
 
-def compressed(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """g, id, text bytes compressed by zstd (null stays null); the text is shuffled in this form."""
+def compressed(docs: DataFrame, id_col: str, text_col: str, groups: int, deal: list[str]) -> DataFrame:
+    """g (by the hash of the columns in deal), id, text bytes compressed by zstd (null stays null); the text is shuffled in
+    this form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
@@ -73,7 +83,7 @@ def compressed(docs: DataFrame, id_col: str, text_col: str, groups: int) -> Data
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["g", "id", "z"])
 
     source = docs.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(groups)).cast("int").alias("g"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("z")
+        F.pmod(F.xxhash64(*[F.col(c) for c in deal]), F.lit(groups)).cast("int").alias("g"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("z")
     )
     return source.mapInArrow(run, "g int, id long, z binary")
 
@@ -95,12 +105,12 @@ Answer = Callable[[list[bytes]], list[bytes]]
 Apply = Callable[[list, list[bytes], list[bytes]], pa.Table]
 
 
-def lookup(docs: DataFrame, id_col: str, text_col: str, ask: Ask, answer: Answer, apply: Apply, schema: str) -> DataFrame:
+def lookup(docs: DataFrame, id_col: str, text_col: str, ask: Ask, answer: Answer, apply: Apply, schema: str, apart: bool = False) -> DataFrame:
     """ask(ids, texts, buckets) gives a blob per bucket; answer(blobs of one bucket) a blob for each; apply(ids, texts,
-    answers by bucket) the result rows of the group."""
+    answers by bucket) the result rows of the group. Rows of one id are in one group unless they may be apart."""
     small_batches(docs.sparkSession)
-    groups = group_count(docs.count())
-    source = compressed(docs, id_col, text_col, groups)
+    groups = groups_of_bytes(docs.agg(F.sum(F.octet_length(F.col(text_col)) + 16)).first()[0] or 0)
+    source = compressed(docs, id_col, text_col, groups, [id_col, text_col] if apart else [id_col])
 
     def asked(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         blobs = ask(*ordered(table), groups)

@@ -61,7 +61,7 @@ def brute_repeats(docs, k=20):
 
 @pytest.mark.parametrize(("seed", "group"), [(1, 2048), (2, 7), (3, 1)])
 def test_substring_dedup(spark, monkeypatch, seed, group):
-    monkeypatch.setattr("loomspar.llm._exchange.group_count", lambda n: max(1, -(-n // group)))
+    monkeypatch.setattr("loomspar.llm._exchange.groups_of_bytes", lambda n: max(1, -(-70 // group)))
     docs = some_docs(seed) + SPECIAL
     random.Random(seed).shuffle(docs)
     df = spark.createDataFrame(docs, DOCS).withColumn("N_words", F.lit("clash"))

@@ -167,39 +167,53 @@ def test_splitters_are_exact_enough(spark):
 # Scoring.
 
 
-def test_base_scores_and_probabilities(spark, monkeypatch):
-    monkeypatch.setattr("loomspar.llm._exchange.group_count", lambda n: 3)
-    docs = [(i, t) for i, t, _ in corpus(5, 60)] + [(5, "W1 w2\n w3"), (None, "q")]
+def low(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+class Trigrams:
+    """The model by its definition."""
+
+    def __init__(self, docs):
+        self.tokens = [(i, [*words(low(t)), "</s>"]) for i, t in docs]
+        self.held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+        self.c = Counter()
+        for i, ts in self.tokens:
+            if not self.held(i):
+                seq = ["<s>", *ts]
+                self.c.update((w,) for w in ts)
+                self.c.update(zip(seq, seq[1:]))
+                self.c.update(zip(seq, seq[1:], seq[2:]))
+                self.c["<s>",] += 1
+        self.words = {k[0] for k in self.c if len(k) == 1} - {"<s>"}
+        self.n, self.v = sum(self.c[w,] for w in self.words), len(self.words)
+        a, b = (sum(self.c[w,] == x for w in self.words) for x in (1, 2))
+        self.d = a / (a + 2 * b) if a else 0.5
+
+    def prob(self, h, w):
+        if not h:
+            return (self.c[w,] - self.d) / self.n if w in self.words else self.d * self.v / self.n
+        k = lm_scoring.PRIOR[len(h) - 1]
+        return (self.c[(*h, w)] + k * self.prob(h[1:], w)) / (self.c[h] + k)
+
+    def score(self, ts):
+        seq = ["<s>", *ts]
+        return sum(math.log10(self.prob(tuple(seq[max(0, i - 2) : i]), seq[i])) for i in range(1, len(seq)))
+
+
+@pytest.mark.parametrize(("seed", "piece", "groups"), [(5, 128, 3), (6, 1, 1), (7, 2, 5), (8, 3, 2)])
+def test_base_scores_and_probabilities(spark, monkeypatch, seed, piece, groups):
+    monkeypatch.setattr("loomspar.llm._exchange.groups_of_bytes", lambda n: groups)
+    monkeypatch.setattr(lm_scoring, "PIECE", piece)
+    docs = [(i, t) for i, t, _ in corpus(seed, 60)] + [(5, "W1 w2\n w3"), (5, "W1 w2\n w3"), (None, "q"), (None, None)]
     got = lm_scoring.score_texts(spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit(1))).collect()
-    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-    tokens = [(i, [*words(low(t)), "</s>"]) for i, t in docs]
-    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-    count, pairs = Counter(), Counter()
-    for i, ts in tokens:
-        if not held(i):
-            count.update(ts)
-            pairs.update(zip(["<s>", *ts], ts))
-    n, v = sum(count.values()), len(count)
-    d = lambda c: (lambda a, b: a / (a + 2 * b) if a else 0.5)(sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values()))
-    d1, d2 = d(count), d(pairs)
-    histories, types = Counter(), Counter()
-    for (h, _), c in pairs.items():
-        histories[h] += c
-        types[h] += 1
-    root = lambda w: (count[w] - d1) / n if w in count else d1 * v / n
-
-    def prob(h, w):
-        if not histories[h]:
-            return root(w)
-        return max(pairs[h, w] - d2, 0) / histories[h] + d2 * types[h] / histories[h] * root(w)
-
-    for h in ("<s>", "w1", "w7", "never"):
-        assert math.isclose(sum(prob(h, w) for w in count) + prob(h, "unknown"), 1, rel_tol=1e-9)
+    m = Trigrams(docs)
+    for h in (("<s>",), ("w1",), ("w1", "w7"), ("<s>", "w3"), ("never",), ("never", "w1"), ()):
+        assert math.isclose(sum(m.prob(h, w) for w in m.words) + m.prob(h, "unknown"), 1, rel_tol=1e-9)
     want = Counter()
-    for i, ts in tokens:
-        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ts)
-        score = sum(math.log10(prob(h, w)) for h, w in zip(["<s>", *ts], ts))
-        want[i, held(i), len(ts), sum(w in count for w in ts), n, round(base, 6), round(score, 6)] += 1
+    for i, ts in m.tokens:
+        base = sum(math.log10((m.c[w,] + 0.5) / (m.n + 0.5 * (m.v + 1))) for w in ts)
+        want[i, m.held(i), len(ts), sum(w in m.words for w in ts), m.n, round(base, 6), round(m.score(ts), 6)] += 1
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == want
 
 
