@@ -70,6 +70,7 @@ def test_mix_slots_and_documents(spark):
     docs = corpus(2)
     df = spark.createDataFrame(docs, DOCS).withColumn("n_chars", F.lit(0).cast("long"))
     spans = mixing.mixed_spans(df).collect()
+    df = df.withColumn("tags", F.create_map(F.lit("k"), F.col("text")))
     taken = {(r.id, r.size): r.taken for r in mixing.taken_words(df).collect() if r.id not in (2007, None)}
     sums = Counter()
     for r in spans:
@@ -86,11 +87,44 @@ def test_mix_slots_and_documents(spark):
     assert made.columns == df.columns and all(n[i] == k for (i, _), k in taken.items())
 
 
-def test_permutation_is_a_bijection(spark):
-    sources = spark.createDataFrame([(1, "a", 1000 * 64, 3000.0 * 64, 1000), (2, "b", 640, 320.0, 10)], "rank int, source string, source_size long, target double, n_blocks long")
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 17, 100, 640, 1000, 4097, 65537])
+def test_permutation_is_a_bijection(spark, n):
+    for key in (1, 2):
+        got = [r.p for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit("k"), F.lit(key)).alias("p"), "id").orderBy("id").collect()]
+        assert sorted(got) == list(range(n))
+        if n >= 640:
+            steps = Counter((b - a) % n for a, b in zip(got, got[1:]))
+            assert max(steps.values()) <= 12 and sum(a == b for a, b in enumerate(got)) <= 12  # no steady step, few fixed places
+            # Pairs of neighbours fall into 4 x 4 cells evenly: chi-square with 15 degrees of freedom, 0.1 % at 37.7.
+            cells = Counter((a * 4 // n, b * 4 // n) for a, b in zip(got, got[1:]))
+            assert sum((cells[i, j] - (n - 1) / 16) ** 2 / ((n - 1) / 16) for i in range(4) for j in range(4)) < 37.7
+
+
+SOURCES = "rank int, source string, source_size long, target double, n_blocks long"
+
+
+def test_uses_of_blocks(spark):
+    sources = spark.createDataFrame([(1, "a", 1000 * 64, 3000.0 * 64, 1000), (2, "b", 640, 320.0, 10), (3, "c", 500 * 64, 400.0 * 64, 500)], SOURCES)
     uses = Counter((r.rank, r.block) for r in mixing.draws(sources).collect())
-    first = [uses[1, b] for b in range(1000)]
-    assert min(first) >= 2 and max(first) == 3 and max((uses[2, b] for b in range(10)), default=0) <= 1 and sum(first) >= 2990
+    assert all(uses[1, b] == 3 for b in range(1000)) and max(uses[2, b] for b in range(10)) == 1 and sum(uses[2, b] for b in range(10)) == 5
+    assert max(uses[3, b] for b in range(500)) == 1 and sum(uses[3, b] for b in range(500)) == 400
+
+
+def test_counts_of_shards_are_multinomial(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 1000)
+    monkeypatch.setattr(mixing, "TOLD_SOURCES", 0)
+    blocks = [40000, 30000, 29900, 100]
+    sources = spark.createDataFrame([(i + 1, str(i), n * 64, n * 64.0, n) for i, n in enumerate(blocks)], SOURCES)
+    chi = lambda counts: sum((counts.get((s, i + 1), 0) - n / 100) ** 2 / (n / 100) for s in range(100) for i, n in enumerate(blocks))
+    drawn, final = 0.0, 0.0
+    for seed in range(17, 22):
+        monkeypatch.setattr(mixing, "SEED", seed)
+        drawn += chi({(r.shard, r["rank"]): r.n for r in mixing.counts(sources)[0].collect()})
+        rows = mixing.draws(sources).collect()
+        final += chi(Counter((r.shard, r["rank"]) for r in rows))
+        assert Counter(r["rank"] for r in rows) == {i + 1: n for i, n in enumerate(blocks)} and len({(r.shard, r.slot) for r in rows}) == len(rows) == 100000
+        assert len({(r["rank"], r.block) for r in rows}) == 100000
+    assert 1337 < drawn < 1676 and 1337 < final < 1676  # 1,500 degrees of freedom, 0.1 % on either side
 
 
 def test_empty_tables(spark):
