@@ -40,7 +40,7 @@ SEED = 17
 #: outside, of a * b with a the root of n: with a <= WALKS one is found surely, else but for a chance under a ** -WALKS.
 ROUNDS, WALKS = 6, 32
 #: Draws made in one task, on average, and the most tasks that they are dealt to.
-TASK_DRAWS, TASKS = 1 << 16, 20000
+TASK_DRAWS, TASKS = 1 << 14, 20000
 #: Tables with a row a source are told to the executors up to this number of sources, else joined.
 TOLD_SOURCES = 1 << 17
 
