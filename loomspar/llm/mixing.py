@@ -65,14 +65,17 @@ def permuted(x: Column, n: Column, *key: Column) -> Column:
     b = _div(n + a - 1, a)
 
     def once(y: Column) -> Column:
+        by = lambda i, other: F.shiftright(F.xxhash64(F.lit(SEED), *key, i, other), 2)
+
         def turn(s: Column, i: Column) -> Column:
-            left = F.pmod(i, F.lit(2)) == 0
-            by = F.xxhash64(F.lit(SEED), *key, i, F.when(left, s["r"]).otherwise(s["l"]))
-            return F.struct(F.when(left, F.pmod(s["l"] + F.pmod(by, a), a)).otherwise(s["l"]).alias("l"), F.when(left, s["r"]).otherwise(F.pmod(s["r"] + F.pmod(by, b), b)).alias("r"))
+            left = F.array(F.pmod(s["l"] + by(i, s["r"]), a))
+            return F.get(F.transform(left, lambda x: F.struct(x.alias("l"), F.pmod(s["r"] + by(i + 1, x), b).alias("r"))), F.lit(0))
 
-        return F.aggregate(F.array(*map(F.lit, range(ROUNDS))), F.struct(F.pmod(y, a).alias("l"), _div(y, a).alias("r")), turn, lambda s: s["r"] * a + s["l"])
+        return F.aggregate(F.array(*map(F.lit, range(0, ROUNDS, 2))), F.struct(F.pmod(y, a).alias("l"), _div(y, a).alias("r")), turn, lambda s: s["r"] * a + s["l"])
 
-    return F.aggregate(F.array(*map(F.lit, range(WALKS))), once(x), lambda y, _: F.when(y < n, y).otherwise(once(y)))
+    walked = lambda y: F.aggregate(F.array(*map(F.lit, range(WALKS))), y, lambda z, _: F.when(z < n, z).otherwise(once(z)))
+    # An array of one, so that the first result is computed once and the walk only where it is outside.
+    return F.get(F.transform(F.array(once(x)), lambda y: F.when(y < n, y).otherwise(walked(y))), F.lit(0))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
