@@ -37,22 +37,36 @@ def groups_of_bytes(n_bytes: int) -> int:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of fixed-width integers as compressed byte planes."""
-    parts = []
+    """Arrays of fixed-width integers as byte planes, each compressed by itself (random ones stay as they are)."""
+    z, parts = zstandard.ZstdCompressor(level=1, write_content_size=False), []
     for a in arrays:
         a = np.ascontiguousarray(a)
-        parts.append(np.array([len(a), a.dtype.itemsize], np.int64).tobytes() + a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+        planes = a.view(np.uint8).reshape(-1, a.dtype.itemsize).T
+        made = []
+        for p in planes:
+            if not p.any():
+                made.append(b"")  # zeros
+                continue
+            raw = p.tobytes()
+            small = z.compress(raw)
+            made.append(small if len(small) < len(raw) else raw)
+        parts += [np.array([len(a), a.dtype.itemsize, *map(len, made)], np.uint32).tobytes(), *made]
+    return b"".join(parts)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
     """The arrays of pack(), as unsigned integers."""
-    data, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
-    while at < len(data):
-        n, width = np.frombuffer(data, np.int64, 2, at)
-        at += 16
-        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
-        at += int(n * width)
+    z, at, out = zstandard.ZstdDecompressor(), 0, []
+    while at < len(blob):
+        n, width = np.frombuffer(blob, np.uint32, 2, at).tolist()
+        sizes = np.frombuffer(blob, np.uint32, width, at + 8).tolist()
+        at += 8 + 4 * width
+        planes = np.zeros((width, n), np.uint8)
+        for plane, size in zip(planes, sizes):
+            if size:
+                raw = blob[at : at + size]
+                plane[:] = np.frombuffer(raw if size == n else z.decompress(raw, max_output_size=n), np.uint8)
+            at += size
         out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"u{width}"))
     return out
 

@@ -18,7 +18,7 @@ Probabilities, with N training tokens (text ends included), V distinct ones, and
 were counted once and twice (0.5 where there are none):
   root: known w: (c(w) - D) / N; unknown: D V / N, or 1 if nothing was learned
   history h, without its first word h': (c(h w) + K p(w | h')) / (c(h) + K); failure arc: K / (c(h) + K), K by h's words
-Every state's probabilities add up to 1 over the known words and one unknown word. N-grams are told apart by 64-bit hashes.
+Every state's probabilities add up to 1 over the known words and one unknown word. Words are told apart by 64-bit hashes, longer n-grams by 56 bits.
 
 Defined cases: a null or empty text is one end token; a null id is never held out and its crc32 is that of ''. Rows are
 scored singly, so repeated rows repeat in the result. Other columns are ignored.
@@ -41,6 +41,8 @@ FOLDS, HELD = 5, 1
 #: Weight of the shorter history against a history of one and of two words, in words.
 PRIOR = (200.0, 20.0)
 PIECE = 128
+#: Pairs and triples are told apart by 56 bits of their hashes, words by all 64.
+KEPT, SHIFT = U(2**64 - 2**8), (U(0), U(8), U(8))
 _MUL = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -73,12 +75,12 @@ class Grams:
         learn = np.repeat(self.train, w.counts + 1)
         before = np.concatenate((token[:0], token[-1:], token[:-1]))
         before[self.first] = START
-        pair = mix(before * _MUL[0] + token)
+        pair = mix(before * _MUL[0] + token) & KEPT
         self.words, self.word, self.word_count = _numbered(token, learn)
         self.pairs, self.pair, self.pair_count = _numbered(pair, learn)
         third = np.flatnonzero(~self.first)
         self.triple = np.full(n, -1)
-        self.triples, self.triple[third], self.triple_count = _numbered(mix(pair[third - 1] * _MUL[1] + token[third]), learn[third])
+        self.triples, self.triple[third], self.triple_count = _numbered(mix(pair[third - 1] * _MUL[1] + token[third]) & KEPT, learn[third])
 
     @property
     def orders(self) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -88,7 +90,7 @@ class Grams:
 def _ask(ids: list, texts: list[bytes], buckets: int) -> list[bytes]:
     orders = Grams(ids, texts).orders
     edges = [bucket_edges(keys, buckets) for keys, _ in orders]
-    return [pack(*(x for (keys, count), e in zip(orders, edges) for x in (delta(keys[e[b] : e[b + 1]]), count[e[b] : e[b + 1]]))) for b in range(buckets)]
+    return [pack(*(x for (keys, count), e, s in zip(orders, edges, SHIFT) for x in (delta(keys[e[b] : e[b + 1]] >> s), count[e[b] : e[b + 1]]))) for b in range(buckets)]
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
@@ -100,7 +102,7 @@ def _answer(blobs: list[bytes]) -> list[bytes]:
     parts = [unpack(b) for b in blobs]
     totals, answers = np.zeros(4, np.int64), [[] for _ in parts]
     for order in range(3):
-        keys = [undelta(p[2 * order]) for p in parts]
+        keys = [undelta(p[2 * order]) for p in parts]  # shifted, all by the same
         uniq, of = np.unique(np.concatenate(keys), return_inverse=True)
         count = np.bincount(of, np.concatenate([p[2 * order + 1] for p in parts]), minlength=len(uniq)).astype(np.int64)
         if order == 0:
