@@ -7,6 +7,7 @@ row with its error.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspar import errors
-from loomspar.functions.repair import custom_blocks, double_escapes, escape_controls, repair_text, sanitize
+from loomspar.functions.repair import around_blocks, custom_blocks, double_escapes, escape_controls, repair_text, sanitize
 
 FORMATS = {".csv": "csv", ".json": "json", ".yaml": "yaml", ".yml": "yaml"}
 SCHEMA = "source string, row_index bigint, raw string, error string"
@@ -53,15 +54,23 @@ def parse_csv(text: str) -> list[dict]:
     return [{n: (None if c == "" and not quoted else c) for n, (c, quoted) in zip(names, r)} for r in rows[1:]]
 
 
+def _refuse(name: str) -> None:
+    raise ValueError(f"{name} is no JSON value")
+
+
 def parse_json(text: str) -> list[dict]:
-    """An object is one record, an array its items. After a failure, escapes and control characters are mended once."""
+    """An object is one record, an array its items. After a failure, escapes and control characters are mended once; if that
+    doesn't help, the first error is raised."""
+    load = lambda t: json.loads(t, parse_constant=_refuse)
     try:
-        value = json.loads(text)
-    except ValueError:
-        try:
-            value = json.loads(escape_controls(double_escapes(text)))
-        except ValueError:
-            value = json.loads(escape_controls(text))
+        value = load(text)
+    except ValueError as first:
+        for mended in (escape_controls(double_escapes(text)), escape_controls(text)):
+            with contextlib.suppress(ValueError):
+                value = load(mended)
+                break
+        else:
+            raise first
     if not isinstance(value, (dict, list)):
         raise ValueError("neither an object nor an array")
     return value if isinstance(value, list) else [value]
@@ -71,13 +80,29 @@ def _yaml_loader() -> type:
     import yaml
 
     class Loader(yaml.SafeLoader):
-        """Scalars of YAML 1.2: only true and false are booleans, and dates stay text."""
-
-    Loader.yaml_implicit_resolvers = {k: [r for r in v if r[0] not in ("tag:yaml.org,2002:bool", "tag:yaml.org,2002:timestamp")] for k, v in yaml.SafeLoader.yaml_implicit_resolvers.items()}
-    Loader.add_implicit_resolver("tag:yaml.org,2002:bool", re.compile(r"^(?:true|True|TRUE|false|False|FALSE)$"), list("tTfF"))
+        """Scalars of YAML 1.2: only true and false are booleans, 010 is ten and 0o10 eight, times and dates stay text.
+        Digits may be parted by underscores."""
+
+    ours = {
+        "bool": (r"true|True|TRUE|false|False|FALSE", "tTfF", None),
+        "int": (r"[-+]?(?:0b[01_]+|0o[0-7_]+|0x[0-9a-fA-F_]+|[0-9][0-9_]*)", "-+0123456789", _yaml_int),
+        "float": (r"[-+]?(?:[0-9][0-9_]*)(?:\.[0-9_]*)?(?:[eE][-+]?[0-9]+)?|[-+]?\.[0-9][0-9_]*(?:[eE][-+]?[0-9]+)?", "-+.0123456789", lambda t: float(t.replace("_", ""))),
+    }
+    drop = {f"tag:yaml.org,2002:{k}" for k in (*ours, "timestamp")}
+    Loader.yaml_implicit_resolvers = {k: [r for r in v if r[0] not in drop] for k, v in yaml.SafeLoader.yaml_implicit_resolvers.items()}
+    for name, (pattern, first, make) in ours.items():
+        Loader.add_implicit_resolver(f"tag:yaml.org,2002:{name}", re.compile(f"^(?:{pattern})$"), list(first))
+        if make:
+            Loader.add_constructor(f"tag:yaml.org,2002:{name}", lambda loader, node, make=make: make(loader.construct_scalar(node)))
     return Loader
 
 
+def _yaml_int(text: str) -> int:
+    sign, digits = (-1 if text[0] == "-" else 1), text.lstrip("+-").replace("_", "")
+    base = {"0b": 2, "0o": 8, "0x": 16}.get(digits[:2], 10)
+    return sign * int(digits if base == 10 else digits[2:], base)
+
+
 def parse_yaml(text: str) -> list[dict]:
     """All documents of the stream; empty ones are skipped and lists flattened."""
     import yaml
@@ -99,11 +124,14 @@ PARSERS = {"csv": parse_csv, "json": parse_json, "yaml": parse_yaml}
 
 
 def parse(text: str, fmt: str, blocks: bool = True, quotes: bool = True, always: bool = False) -> list[dict]:
-    """Quotes are repaired first (where the text doesn't parse as it is, unless always), then blocks are folded."""
-    if "<<<" in text and blocks:
-        quotes = quotes and always
-    if quotes and (fmt != "csv" or always or _broken_csv(text)):
-        text = repair_text(text, fmt, always)
+    """Quotes are repaired first, outside of blocks (where the text doesn't parse as it is, unless always), then blocks are
+    folded."""
+    if quotes:
+
+        def repaired(t: str) -> str:
+            return repair_text(t, fmt, always) if fmt != "csv" or always or _broken_csv(t) else t
+
+        text = around_blocks(text, repaired) if blocks else repaired(text)
     if blocks:
         text = custom_blocks(text, fmt)
     return [sanitize(r) for r in PARSERS[fmt](text)]

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,55 @@ def test_csv_repair():
     assert readers.parse_csv(repair.csv_quotes('a,b\nx "y",2').output) == [{"a": 'x "y"', "b": "2"}]
 
 
+def test_no_field_is_swallowed():
+    assert json.loads(repair.json_quotes('{"a": "the "x", and "y" z", "b": "c"}').output) == {"a": 'the "x", and "y" z', "b": "c"}
+    assert json.loads(repair.json_quotes('{"a": "p", "b": "q "r", s", "c": ["t "u" v", 1], "d": {"e": "f "g""}, "h": "i"}').output) == {
+        "a": "p", "b": 'q "r", s', "c": ['t "u" v', 1], "d": {"e": 'f "g"'}, "h": "i",
+    }
+    got = readers.parse_csv(repair.csv_quotes('a,b,c\n1,"x "big", red" y",2\n"3","p","q "r" s"\n"4","say ""hi"", ok","z"\n').output)
+    assert [list(r.values()) for r in got] == [["1", 'x "big", red" y', "2"], ["3", "p", 'q "r" s'], ["4", 'say "hi", ok', "z"]]
+    assert readers.parse_csv(repair.csv_quotes('a,b\n1,"one\ntwo"\n2,"x "y" z"').output) == [{"a": "1", "b": "one\ntwo"}, {"a": "2", "b": 'x "y" z'}]
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "yaml"])
+def test_a_megabyte_is_repaired_in_seconds(fmt):
+    n = 30000
+    parts = {"json": ('{"k%d": "the "x%d", and "y" z"}', "[", ",", "]"), "csv": ('%d,"the "x%d", and "y" z"', "a,b\n", "\n", ""), "yaml": ('k%d: "the "x%d", and "y" z" # c', "", "\n", "")}
+    one, head, between, tail = parts[fmt]
+    text = head + between.join(one % (i, i) for i in range(n)) + tail
+    start = time.perf_counter()
+    out = repair.QUOTES[fmt](text).output
+    assert time.perf_counter() - start < 5
+    rows = readers.PARSERS[fmt](out)
+    assert len(rows) == (1 if fmt == "yaml" else n)
+    last = rows[-1].get(f"k{n - 1}", rows[-1].get("b"))
+    assert last == f'the "x{n - 1}", and "y" z'
+
+
+@pytest.mark.parametrize("text", ['{"a": "' + '"' * 200000, '{"a": "' + 'x" ' * 100000, "['" + "', " * 100000, '{"a' * 100000, '"' * 300000, 'a,b\n"' + 'x" ,"' * 60000, "a: '" + "'" * 200000])
+def test_broken_text_ends_in_time(text):
+    for fn in repair.QUOTES.values():
+        start = time.perf_counter()
+        fn(text)
+        assert time.perf_counter() - start < 5
+
+
+def test_scalars_and_constants():
+    assert readers.parse("a: 12:30:45\nb: 010\nc: 0o10\nd: 0x1F\ne: 1.5e3\nf: -7\ng: .5\nh: 1_000\ni: 1e3\nj: 2024-01-02\nk: '3'\n", "yaml") == [
+        {"a": "12:30:45", "b": 10, "c": 8, "d": 31, "e": 1500.0, "f": -7, "g": 0.5, "h": 1000, "i": 1000.0, "j": "2024-01-02", "k": "3"}
+    ]
+    for text in ('{"a": NaN}', "[Infinity]"):
+        with pytest.raises(ValueError, match="is no JSON value"):
+            readers.parse(text, "json")
+    with pytest.raises(ValueError, match="line 1 column 6"):
+        readers.parse_json('{"a":}')
+
+
+def test_quotes_around_blocks():
+    assert readers.parse('{"a": "the "x" ring", "b": <<<\nsay "hi"\n>>>}', "json") == [{"a": 'the "x" ring', "b": 'say "hi"'}]
+    assert readers.parse('a: "the "x" ring"\nb: <<<\nq: "z\n>>>', "yaml") == [{"a": 'the "x" ring', "b": 'q: "z'}]
+
+
 def test_blocks():
     assert readers.parse("a: <<<\nx: \"1\"\n\\d\n>>>\nb: 2", "yaml") == [{"a": 'x: "1"\n\\d', "b": 2}]
     assert readers.parse("a,b\n1,<<<\nx\n>>>\n", "csv") == [{"a": "1", "b": "x"}]
