@@ -1,9 +1,15 @@
 """Quality rules: base measures of a text, and a verdict by labelling its lines as content or boilerplate.
 
 A linear-chain conditional random field over the lines that hold a word is decoded by Viterbi; a text is kept if at
-least MIN_SHARE of its words stand in content lines. The field is fitted on the lines of at most SAMPLE labelled
-documents of either quality (those with the smallest hashes of their ids); a line takes its document's label. Training
-is the only place with a bound; measures and labels cover every line of every text.
+least MIN_SHARE of its words stand in content lines.
+
+The field is fitted on the lines of at most SAMPLE labelled documents of either quality: those with the smallest hashes of
+their ids, one row an id, of texts up to SAMPLE_BYTES, which bounds what the driver gathers. Documents have labels, lines
+don't: a bad document may hold good lines, and a good one a menu. So lines are labelled in two steps. A model of single
+lines is fitted on their documents' labels and labels each line by itself; where the lines then contradict the document
+(content in less than MIN_SHARE of a good one's words, or in as much of a bad one's), all take the document's label. The
+field, with its changes between lines, is fitted on these. Training is the only place with a bound; measures and labels
+cover every line of every text.
 
 Defined cases: a null, empty or blank text has no words and fails the base rule; an unknown label, or labels of one
 class only, leave all lines content; repeated rows are judged singly; other columns of the documents stay as they are.
@@ -24,7 +30,7 @@ from loomspar.llm._tokens import U, mix, texts_of, windows, words
 
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 MIN_SHARE = 0.5
-SAMPLE = 1500
+SAMPLE, SAMPLE_BYTES = 1500, 32 << 10
 FIT_TEXTS = 50
 BOILERPLATE, CONTENT = 0, 1
 RESULT = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,base_failed:boolean,content_words:long,kept:boolean>"
@@ -107,19 +113,38 @@ class Lines:
         ]).astype(np.float64)
 
 
-def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x = Lines(texts)
-    return x.features, x.off
+    return x.features, x.off, x.line_words
+
+
+def _shares(content: np.ndarray, n_words: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Share of each text's words in content lines; 0 without words."""
+    part = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[off])
+    return part(content * n_words) / np.maximum(part(n_words), 1)
+
+
+def line_labels(x: np.ndarray, off: np.ndarray, n_words: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Labels of the lines of labelled texts."""
+    size = np.diff(off)
+    whole = np.repeat(np.where(good, CONTENT, BOILERPLATE), size)
+    single = train(x, np.arange(len(x) + 1), whole, 2)
+    label = single.scores(x).argmax(1)
+    agrees = (_shares(label == CONTENT, n_words, off) >= MIN_SHARE) == good
+    return np.where(np.repeat(agrees, size), label, whole)
 
 
 def fit(texts: list[bytes], good: list[bool]) -> Chain | None:
-    """The field from whole labelled texts; None without both labels."""
+    """The field from whole labelled texts; None without lines of both labels."""
     if len(set(good)) < 2:
         return None
     parts = [_features(texts[i : i + FIT_TEXTS]) for i in range(0, len(texts), FIT_TEXTS)]  # each needs some 100 times its bytes
-    size = np.concatenate([np.diff(off) for _, off in parts])
-    label = np.repeat(np.where(good, CONTENT, BOILERPLATE), size)
-    return train(np.concatenate([x for x, _ in parts]), np.concatenate(([0], np.cumsum(size))), label, 2) if len(set(label.tolist())) == 2 else None
+    size = np.concatenate([np.diff(off) for _, off, _ in parts])
+    if not all(size[np.array(good) == g].any() for g in (True, False)):
+        return None
+    x, n_words = np.concatenate([x for x, _, _ in parts]), np.concatenate([n for _, _, n in parts])
+    off = np.concatenate(([0], np.cumsum(size)))
+    return train(x, off, line_labels(x, off, n_words, np.array(good)), 2)
 
 
 def judge(chain: Chain | None, texts: list[bytes]) -> list[dict]:
@@ -142,8 +167,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) ->
     if not quality:
         return [], []
     ids = docs.sparkSession.createDataFrame([(i,) for i in quality], "sample_id long")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("sample_id"), "left_semi").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text or ""))
+    texts = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES)
+    known = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("sample_id"), "left_semi")
+    rows = known.groupBy("doc_id").agg(F.min("text").alias("text")).collect()  # 2 * limit rows of SAMPLE_BYTES at most
+    rows.sort(key=lambda r: r.doc_id)
     return [(r.text or "").encode() for r in rows], [quality[r.doc_id] == 1 for r in rows]
 
 

@@ -57,6 +57,40 @@ def test_labels_are_learned(spark):
     assert np.mean(np.array(kept) == np.array([True] * 20 + [False] * 20)) >= 0.95
 
 
+def junk(r, n):
+    return " | ".join(r.choice("abcdef") * 4 + str(r.randrange(99)) for _ in range(n))
+
+
+def test_lines_of_mixed_texts_are_told_apart():
+    """Trained on documents' labels only; bad documents hold good lines, good ones a line of junk."""
+    r = random.Random(4)
+
+    def text(n_good, n_bad):
+        lines = [(prose(r, 2), True) for _ in range(n_good)] + [(junk(r, r.randint(6, 16)), False) for _ in range(n_bad)]
+        turn = r.randrange(len(lines))
+        return lines[turn:] + lines[:turn]
+
+    made = [(text(r.randint(3, 8), r.choice([0, 0, 1])), True) for _ in range(150)] + [(text(r.choice([0, 1, 2]), r.randint(4, 9)), False) for _ in range(150)]
+    chain = quality_rules.fit(["\n".join(x for x, _ in t).encode() for t, _ in made], [g for _, g in made])
+    shares, right, n = [], 0, 0
+    for _ in range(100):
+        lines = text(r.randint(1, 8), r.randint(1, 8))
+        x = quality_rules.Lines(["\n".join(y for y, _ in lines).encode()])
+        got = chain.decode(x.features, x.off) == quality_rules.CONTENT
+        right, n = right + (got == np.array([g for _, g in lines])).sum(), n + len(lines)
+        shares.append((got * x.line_words).sum() / x.line_words.sum())
+    assert right / n >= 0.95 and np.mean([0 < s < 1 for s in shares]) >= 0.9
+    assert chain.moves[0, 0] + chain.moves[1, 1] > chain.moves[0, 1] + chain.moves[1, 0]
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "x" * 40000), (3, None), (4, "short one")], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)] * 2, "doc_id long, quality int")
+    texts, good = quality_rules.labelled_sample(docs, labels)
+    assert texts == [b"text 0", b"", b"short one"] and good == [True, True, False]
+    assert quality_rules.fit([b"a b", b""], [True, False]) is None
+
+
 def test_viterbi_is_best_path():
     rng = np.random.default_rng(2)
     chain = _crf.Chain(rng.normal(size=(3, 2)), rng.normal(size=(2, 2)), rng.normal(size=2), np.zeros(3), np.ones(3))
