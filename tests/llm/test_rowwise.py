@@ -5,6 +5,8 @@ import hashlib
 import json
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -117,7 +119,7 @@ def brute_hits(texts, items, k=10):
     for i, t in items:
         w = split(t)
         n = min(k, len(w))
-        for s in range(len(w) - n + 1 if n and i is not None else 0):
+        for s in range(len(w) - n + 1 if n else 0):
             keys.setdefault(tuple(w[s : s + n]), set()).add(i)
     out = []
     for t in texts:
@@ -127,6 +129,7 @@ def brute_hits(texts, items, k=10):
                 if tuple(w[s : s + n]) in keys:
                     hit.update(range(s, s + n))
                     found |= keys[tuple(w[s : s + n])]
+        found -= {None}
         out.append((len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return out
 
@@ -153,6 +156,38 @@ def test_decontamination_random(spark):
         for m in g["matches"]:
             item = dict(items)[m["item_id"]].split()
             assert t.split()[m["doc_start"] : m["doc_start"] + m["length"]] == item[m["item_start"] : m["item_start"] + m["length"]]
+            assert (m["length"], m["doc_start"], m["item_start"]) == longest_match(t.split(), item)
+
+
+def longest_match(text, item):
+    """Length and first places of the longest common substring."""
+    n, p, o = max(((n, -p, -o) for p in range(len(text)) for o in range(len(item)) for n in [next((k for k in range(len(item) - o + 1) if text[p : p + k + 1] != item[o : o + k + 1] or o + k >= len(item)), 0)]), default=(0, 0, 0))
+    return n, -p, -o
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 10])
+def test_longest_matches(window):
+    r = random.Random(window)
+    text = lambda n: [r.choice("ab") for _ in range(n)]
+    items = [(str(i), text(r.choice([1, 4, 12, 30]))) for i in range(8)]
+    texts = [text(r.choice([0, 1, 3, 20, 40])) + (items[i % 8][1][2:25] if i % 3 else []) for i in range(20)]
+    probe = decontamination.Probe([i for i, _ in items], [" ".join(t).encode() for _, t in items], window)
+    for g, t in zip(probe.search([" ".join(t).encode() for t in texts]), texts):
+        got = {m["item_id"]: (m["length"], m["doc_start"], m["item_start"]) for m in g["matches"]}
+        best = {i: longest_match(t, w) for i, w in items}
+        assert got == {i: b for i, b in best.items() if b[0] >= min(window, len(dict(items)[i]))}
+
+
+def test_windows_that_repeat_in_both_sides():
+    """Memory and time follow the places, not their pairs."""
+    n = 20000
+    probe = decontamination.Probe(["a", "b"], [b"na " * n, b"x y z " * 3000], 10)
+    tracemalloc.start()
+    start = time.perf_counter()
+    got = probe.search([b"na " * (n - 5), b"z x y " * 4000 + b"na na"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [m["length"] for g in got for m in g["matches"]] == [n - 5, 9000] and peak < 200 << 20 and time.perf_counter() - start < 20
 
 
 def test_contaminated_documents_go(spark):
