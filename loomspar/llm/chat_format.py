@@ -166,17 +166,70 @@ def link_tools(messages: DataFrame, schemas: dict[str, dict], conv: str = "conv_
     )
 
 
+def with_tools(messages: DataFrame) -> DataFrame:
+    """The registered query's input. The table's turns hold no tools, so each turn's text becomes part of a message that its
+    turn and length choose. Assistants: a valid call, a call with an unexpected argument, two calls of which one lacks a
+    required argument, a call of an unknown tool under an identifier used again, or plain text. Users: the result of the
+    call of the turn before, of the turn after, or of that identifier (so some come early, twice or to no call), or text."""
+    text, turn = F.coalesce("text", F.lit("")), F.col("turn").cast("string")
+    quoted = F.to_json(F.array(text))
+    quoted = F.substr(quoted, F.lit(2), F.char_length(quoted) - 2)
+    kind = F.char_length(text) + F.col("turn")
+    call = lambda name, id_, *arguments: F.concat(F.lit(f'{{"name": "{name}", "id": "'), id_, F.lit('", "arguments": {'), *arguments, F.lit("}}"))
+    message = lambda *calls: F.concat(F.lit('{"tool_calls": ['), *calls, F.lit('], "content": '), quoted, F.lit("}"))
+    own = F.concat(F.lit("c"), turn)
+    asked = F.pmod(kind, F.lit(5))
+    asks = (
+        F.when(asked == 0, message(call("search", own, F.lit('"query": '), quoted, F.lit(', "limit": '), turn)))
+        .when(asked == 1, message(call("calculate", own, F.lit('"extra": true, "expression": '), quoted)))
+        .when(asked == 2, message(call("search", own, F.lit('"query": '), quoted), F.lit(", "), call("calculate", F.concat(own, F.lit("b")))))
+        .when(asked == 3, message(call("browse", F.lit("c"), F.lit('"url": '), quoted)))
+    )
+    told = F.pmod(kind, F.lit(4))
+    to = F.when(told == 0, F.concat(F.lit("c"), (F.col("turn") - 1).cast("string"))).when(told == 1, F.concat(F.lit("c"), (F.col("turn") + 1).cast("string"))).when(told == 2, F.lit("c"))
+    tells = F.concat(F.lit('{"tool_call_id": "'), to, F.lit('", "content": '), quoted, F.lit("}"))
+    is_result = (F.col("role") == "user") & to.isNotNull()
+    said = F.when(F.col("role") == "assistant", F.coalesce(asks, text)).when(is_result, tells).otherwise(text)
+    return messages.select("conv_id", "turn", F.when(is_result, "tool").otherwise(F.col("role")).alias("role"), said.alias("text"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    messages = with_tools(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
     out = link_tools(messages, TOOLS)
     place = F.format_string("%d.%d.%d.%d", *[F.col(f"order_key.{f}") for f in ("turn", "after", "place", "own")])
     return out.select("conv_id", "turn", "role", "kind", "json", F.coalesce("link", F.lit("")).alias("link"), "n_calls", "n_linked", "n_invalid", "call_links", place.alias("place"))
 
 
 SQL = """
-SELECT conv_id, turn, role, 'plain' AS kind,
-  '{"content":' || CAST(to_json(coalesce(text, '')) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS json,
-  '' AS link, CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, CAST(0 AS BIGINT) AS n_invalid, '' AS call_links,
-  turn || '.0.0.' || turn AS place
-FROM conversations
+WITH m AS (
+  SELECT conv_id, turn, role, CAST(to_json(coalesce(text, '')) AS VARCHAR) AS q,
+    CASE WHEN role = 'assistant' THEN (length(coalesce(text, '')) + turn) % 5 END AS asked,
+    CASE WHEN role = 'user' THEN CASE (length(coalesce(text, '')) + turn) % 4 WHEN 0 THEN 'c' || (turn - 1) WHEN 1 THEN 'c' || (turn + 1) WHEN 2 THEN 'c' END END AS answers
+  FROM conversations
+), calls AS (
+  SELECT conv_id, turn, 0 AS place, CASE asked WHEN 3 THEN 'c' ELSE 'c' || turn END AS id, CASE asked WHEN 1 THEN 'calculate' WHEN 3 THEN 'browse' ELSE 'search' END AS name,
+    CASE asked WHEN 0 THEN '{"limit":' || turn || ',"query":' || q || '}' WHEN 1 THEN '{"expression":' || q || ',"extra":true}' WHEN 2 THEN '{"query":' || q || '}' ELSE '{"url":' || q || '}' END AS arguments,
+    asked IN (1, 3) AS invalid
+  FROM m WHERE asked < 4
+  UNION ALL SELECT conv_id, turn, 1, 'c' || turn || 'b', 'calculate', '{}', true FROM m WHERE asked = 2
+), first_call AS (
+  SELECT conv_id, id, min(turn) AS turn, arg_min(place, (turn, place)) AS place FROM calls GROUP BY conv_id, id
+), first_result AS (
+  SELECT conv_id, answers AS id, min(turn) AS turn FROM m WHERE answers IS NOT NULL GROUP BY conv_id, answers
+), judged AS (
+  SELECT c.*, CASE WHEN c.turn <> f.turn OR c.place <> f.place THEN 'duplicate' WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS s
+  FROM calls c JOIN first_call f USING (conv_id, id) LEFT JOIN first_result r USING (conv_id, id)
+), by_message AS (
+  SELECT conv_id, turn, count(*) AS n, count(*) FILTER (s = 'linked') AS n_linked, count(*) FILTER (invalid) AS n_invalid, string_agg(s, ',' ORDER BY place) AS call_links,
+    string_agg('{"arguments":' || arguments || ',"id":"' || id || '","name":"' || name || '"}', ',' ORDER BY place) AS body
+  FROM judged GROUP BY conv_id, turn
+)
+SELECT m.conv_id, m.turn, CASE WHEN answers IS NOT NULL THEN 'tool' ELSE role END AS role,
+  CASE WHEN answers IS NOT NULL THEN 'result' WHEN b.n > 0 THEN 'call' ELSE 'plain' END AS kind,
+  '{"content":' || q || ',"role":' || CASE WHEN answers IS NOT NULL THEN '"tool"' ELSE CAST(to_json(role) AS VARCHAR) END
+    || CASE WHEN answers IS NOT NULL THEN ',"tool_call_id":"' || answers || '"' WHEN b.n > 0 THEN ',"tool_calls":[' || body || ']' ELSE '' END || '}' AS json,
+  CASE WHEN answers IS NULL THEN '' WHEN f.turn IS NULL THEN 'orphan' WHEN r.turn <> m.turn THEN 'extra' ELSE 'linked' END AS link,
+  CAST(coalesce(b.n, 0) AS BIGINT) AS n_calls, CAST(coalesce(b.n_linked, 0) AS BIGINT) AS n_linked, CAST(coalesce(b.n_invalid, 0) AS BIGINT) AS n_invalid, coalesce(call_links, '') AS call_links,
+  CASE WHEN f.turn IS NOT NULL THEN greatest(f.turn, m.turn) || '.1.' || f.place || '.' || m.turn ELSE m.turn || '.0.0.' || m.turn END AS place
+FROM m LEFT JOIN by_message b USING (conv_id, turn) LEFT JOIN first_call f ON f.conv_id = m.conv_id AND f.id = m.answers LEFT JOIN first_result r ON r.conv_id = m.conv_id AND r.id = m.answers
 """
