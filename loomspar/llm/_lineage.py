@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset, as in tests."""
+    """The folder that spark.checkpoint.dir names; where it is unset, a temporary one for a local master only."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: executors of a cluster need a folder that all of them share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
 
 
 def cut(df: DataFrame) -> DataFrame:
