@@ -182,6 +182,34 @@ def with_marker(labels: C, mark: C) -> Column:
     return F.when(F.array_contains(own, col(mark)), own).otherwise(F.array_append(own, col(mark)))
 
 
+def has_marker(labels: C, mark: C) -> Column:
+    return F.coalesce(F.array_contains(col(labels), col(mark)), F.lit(False))
+
+
+# Shapes of JSON texts.
+
+
+def _member(c: C, name: str) -> Column:
+    return F.get_json_object(col(c), f"$.{name}")
+
+
+def is_id_only(c: C) -> Column:
+    """An object with an id in text, and neither a key nor a name."""
+    has_text_id = F.coalesce(F.schema_of_variant(F.try_variant_get(F.try_parse_json(col(c)), "$.id", "variant")) == "STRING", F.lit(False))
+    return has_text_id & _member(c, "key").isNull() & _member(c, "name").isNull()
+
+
+def is_error_response(c: C) -> Column:
+    """An object that lists messages, or errors by field."""
+    keys = F.coalesce(F.json_object_keys(col(c)), F.array().cast("array<string>"))
+    return F.arrays_overlap(keys, F.array(F.lit("errorMessages"), F.lit("errors")))
+
+
+def search_date(c: C) -> Column:
+    """A time as searches spell it; texts pass."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd HH:mm")
+
+
 # Messages of failed writes.
 
 

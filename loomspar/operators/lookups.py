@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspar.functions.fuzzy import Options, fuzzy_score
+from loomspar.functions.repair import nfkc
 from loomspar.functions.scalars import is_email, strip, strip_invisible
 
 GAP = 0.1
@@ -21,14 +22,20 @@ def clean(c: Column | str) -> Column:
     return F.nullif(strip(strip_invisible(c)), F.lit(""))
 
 
+def folded(c: Column | str) -> Column:
+    """clean() under NFKC and without case. Only what isn't ASCII goes through Python; all else is null there."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.lower(clean(F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)))
+
+
 def resolve_unique(cells: DataFrame, dim: DataFrame, scope: list[str], keys: list[str] | None = None, fuzzy: Options | None = Options(), policy: str = "error") -> DataFrame:
     """cells (cell_id, value, scope columns) with status, id and score of the candidate that the value names.
 
     dim: scope columns, id, name, and any further keys. An exact hit equals the name, id or a key without case. policy:
     "error" makes several hits ambiguous, "first" takes the one with the least id."""
     keys = keys or []
-    named = dim.where("name IS NOT NULL")
-    wanted = cells.withColumn("wanted", F.lower(clean("value")))
+    named = dim.where("name IS NOT NULL").withColumns({k: folded(F.col(k).cast("string")) for k in ["name", *keys]})
+    wanted = cells.withColumn("wanted", folded("value"))
     exact_keys = F.array_distinct(F.array_compact(F.array(*[F.lower(F.col(k).cast("string")) for k in ["name", "id", *keys]])))
     exploded = named.select(*scope, "id", F.explode(exact_keys).alias("wanted"))
     hits = exploded.groupBy(*scope, "wanted").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n"))
@@ -165,6 +172,13 @@ def _most_similar(wanted: DataFrame, hits: DataFrame, live: DataFrame) -> DataFr
     return out.select("cell_id", F.coalesce("status", F.lit("not_found")).alias("status"), F.col("pos").alias("user_pos"), "confidence")
 
 
+def user_payload(matched: DataFrame, users: DataFrame, deployment: str = "server") -> DataFrame:
+    """cell_id and payload, {"accountId": ...} or {"name": ...} as JSON, of match_users()' rows; null without a user."""
+    key, field = ("accountId", "account_id") if deployment == "cloud" else ("name", "username")
+    known = users.select(F.col("pos").alias("user_pos"), F.to_json(F.struct(F.col(field).alias(key))).alias("payload"))
+    return matched.join(known, "user_pos", "left").select("cell_id", "payload")
+
+
 # Sprints, boards, parents.
 
 

@@ -20,6 +20,8 @@ class Client:
     def __init__(self, base: str, transport: Transport, headers: Callable[[], dict], refresh: Callable[[], bool] = lambda: False, sleep: Callable[[float], None] = time.sleep) -> None:
         self._base, self._transport, self._headers, self._refresh, self._sleep = base.rstrip("/"), transport, headers, refresh, sleep
         self._gate = threading.Semaphore(PARALLEL)
+        self._asking = threading.Lock()
+        self._deployment: tuple[str, int] | None = None
 
     def request(self, method: str, path: str, params: dict | None = None, body: object = None) -> object:
         """The answer's JSON. Null parameters are dropped; a refused login is tried once more after a refresh."""
@@ -58,6 +60,22 @@ class Client:
                 return
 
 
+    def check_connection(self) -> dict:
+        """What the server says of itself; any failure is a connection error."""
+        try:
+            return dict(self.request("GET", "/rest/api/2/serverInfo"))  # type: ignore[call-overload]
+        except (errors.EngineError, TypeError, ValueError) as e:
+            raise errors.EngineError(errors.NETWORK, f"no connection: {e}") from e
+
+    def deployment(self) -> tuple[str, int]:
+        """("cloud", 3) or ("server", 2), the version being that of its endpoints. Asked once; callers meanwhile wait."""
+        with self._asking:
+            if self._deployment is None:
+                kind = str(self.check_connection().get("deploymentType", "Server")).lower()
+                self._deployment = ("cloud", 3) if kind == "cloud" else ("server", 2)
+            return self._deployment
+
+
 def _failure(status: int, answer: str) -> errors.EngineError:
     try:
         body = json.loads(answer)

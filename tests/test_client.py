@@ -56,3 +56,39 @@ def test_settings():
         with pytest.raises(errors.EngineError):
             config.load(bad)
     assert config.migrate({"auth": {"token": "t"}})["auth"]["type"] == "token" and config.migrate({"a": 1}) == {"a": 1}
+
+
+def test_connection_and_deployment():
+    c, calls, _ = client([(200, '{"deploymentType": "Cloud"}')])
+    assert c.deployment() == c.deployment() == ("cloud", 3) and len(calls) == 1
+    c, _, _ = client([(200, '{"version": "9"}')])
+    assert c.deployment() == ("server", 2)
+    c, _, _ = client([(401, "")])
+    with pytest.raises(errors.EngineError) as e:
+        c.check_connection()
+    assert e.value.code == errors.NETWORK
+
+
+def test_progress_is_followed():
+    from loomspar.streaming.progress import follow
+
+    now, counts, seen = [0.0], iter([0, 3, 3, 9]), []
+    last = follow(lambda: next(counts), 9, seen.append, clock=lambda: now[0], wait=lambda s: now.__setitem__(0, now[0] + s))
+    assert [x["count"] for x in seen] == [0, 3, 3, 9] and last["complete"] and last["at"] == 6000
+    now[0] = 0.0
+    last = follow(lambda: 2, 9, seen.append, stuck_ms=5000, clock=lambda: now[0], wait=lambda s: now.__setitem__(0, now[0] + s))
+    assert last["stuck"] and not last["complete"] and last["at"] == 6000
+
+
+def test_lookups_by_project():
+    from loomspar.streaming.progress import ExpiringCache, Lookups
+
+    now = [0.0]
+    kept = Lookups(ExpiringCache(clock=lambda: now[0]))
+    kept.set("P", "priority", [1])
+    kept.set("P", "option", [2], "Bug")
+    kept.set("Q", "option", [3])
+    assert kept.get("P", "option", "Bug") == [2] and kept.get("P", "option") is None and kept.stats() == {"P": 2, "Q": 1}
+    assert len(kept.clear("P", "option")) == 1 and kept.get("P", "priority") == [1] and kept.stats() == {"P": 1, "Q": 1}
+    now[0] = 901
+    assert kept.get("Q", "option") is None

@@ -258,3 +258,42 @@ def test_files(spark, tmp_path):
 def test_search_text():
     assert bulk.search_text({"summary": 'a "b"'}, {"status": ["x", "y"]}, since="2024-01-01", order_by="key") == 'summary ~ "a \\"b\\"" AND status IN ("x", "y") AND created >= "2024-01-01" ORDER BY key'
     assert bulk.search_text(raw="a = 1 OR b = 2", since="2024-01-01") == '(a = 1 OR b = 2) AND created >= "2024-01-01"'
+
+
+def test_lookups_under_nfkc(spark):
+    dim = spark.createDataFrame([("a", 1, "High"), ("a", 2, "Ｌｏｗ ﬁx")], "p string, id int, name string")
+    cells = spark.createDataFrame([(1, "Ｈｉｇｈ", "a"), (2, "low fix", "a"), (3, " LOW\u200b ﬁX ", "a"), (4, None, "a")], "cell_id int, value string, p string")
+    got = {r.cell_id: (r.status, r.id) for r in lookups.resolve_unique(cells, dim, ["p"], fuzzy=None).collect()}
+    assert got == {1: ("ok", 1), 2: ("ok", 2), 3: ("ok", 2), 4: ("not_found", None)}
+
+
+def test_parents_by_key_and_summary(spark):
+    from loomspar.operators import entities as E
+
+    issues = spark.createDataFrame([("P", "P-1", "Build the new engine", 1), ("P", "P-2", "new engine", 2), ("P", "P-3", "Other", 3), ("Q", "Q-1", "new engine", 4), ("P", "P-5", "Twin", 5), ("P", "P-6", "twin", 6)], "project string, key string, summary string, pos int")
+    cells = spark.createDataFrame([(1, "p-3", "P"), (2, "P-99", "P"), (3, "New Engine", "P"), (4, "nothing like it", "P"), (5, "TWIN", "P"), (6, None, "P")], "cell_id int, value string, project string")
+    found = E.searched_parents(cells, issues)
+    assert {(r.cell_id, r.key) for r in found.collect()} == {(3, "P-1"), (3, "P-2"), (5, "P-5"), (5, "P-6")}
+    got = {r.cell_id: (r.status, r.key) for r in E.resolve_parents(cells, issues, found).collect()}
+    assert got == {1: ("ok", "P-3"), 2: ("not_found", None), 3: ("ok", "P-2"), 4: ("not_found", None), 5: ("ambiguous", None), 6: ("not_found", None)}
+    told = spark.createDataFrame([(3, 10, 7, "new engine", 1), (3, 11, 8, "engine", 2)], "cell_id int, project_id int, number int, summary string, pos int")
+    projects = spark.createDataFrame([(10, "P")], "id int, key string")
+    assert {r.key for r in E.suggested_parents(told, projects).collect()} == {"P-7", "???-8"}
+
+
+def test_shapes(spark):
+    from loomspar.functions import scalars as S
+
+    rows = [('{"id": "3"}', True, False), ('{"id": 3}', False, False), ('{"id": "3", "name": "x"}', False, False), ('{"errorMessages": ["no"]}', False, True), ('{"errors": {}}', False, True), ("[1]", False, False), ("x", False, False), (None, False, False)]
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i int, t string")
+    got = [(r.a, r.b) for r in df.select("i", S.is_id_only("t").alias("a"), S.is_error_response("t").alias("b")).orderBy("i").collect()]
+    assert got == [(a, b) for _, a, b in rows]
+    one = spark.sql("SELECT array('a', 'b') AS l, CAST(NULL AS array<string>) AS n, TIMESTAMP'2024-03-01 07:05:59' AS t")
+    assert tuple(one.select(S.has_marker("l", F.lit("b")), S.has_marker("n", F.lit("b")), S.search_date("t")).first()) == (True, False, "2024-03-01 07:05")
+
+
+def test_user_payloads(spark):
+    users = spark.createDataFrame([(1, "u1", "acc1"), (2, "u2", "acc2")], "pos int, username string, account_id string")
+    found = spark.createDataFrame([(7, 2), (8, None)], "cell_id int, user_pos int")
+    for deployment, want in (("server", '{"name":"u2"}'), ("cloud", '{"accountId":"acc2"}')):
+        assert {r.cell_id: r.payload for r in lookups.user_payload(found, users, deployment).collect()} == {7: want, 8: None}
