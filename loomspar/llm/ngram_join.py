@@ -49,7 +49,7 @@ SLICE_BYTES = 2 << 20
 #: Shingles that a task counts at once. When there are more, all lose what the first beyond has: so a count falls short by
 #: at most the task's shingles / HELD, and no shingle goes unseen that is more frequent than that.
 HELD, HELD_SLICES, REPORT_FROM = 1 << 20, 4, 2
-LEAF, STRIP, PIVOTS, BLOCK_PIECE, PARTS = 16, 2048, 4, 1 << 16, 64
+LEAF, STRIP, PIVOTS, BLOCK_PIECE, PARTS = 16, 512, 4, 1 << 16, 64
 #: Groups of documents to a bucket of shingles, and the most prefix shingles that a bucket holds on average.
 BUCKET_GROUPS, BUCKET_ENTRIES = 4, 1 << 22
 #: Groups beyond STRIP are told to the executors up to this number, else joined.
