@@ -260,12 +260,18 @@ def labelled_page(seed: int) -> str:
             text = text.replace(" ", f' <a href="/{word()}">{word()}</a> ', 1)
         return f"<b>{text}</b>" if r.random() < 0.05 else text
 
-    links = lambda a, b: "".join(f'<li><a href="/{word()}">{some(1, 3)}</a></li>' for _ in range(r.randint(a, b)))
+    label = lambda: some(1, 3) + r.choice(["", "", "", "", ".", "?"])
+    links = lambda a, b: "".join(f'<li><a href="/{word()}">{label()}</a></li>' for _ in range(r.randint(a, b)))
 
     def other(part: str) -> str:
         return f'<div data-main="0">{part}</div>' if r.random() < 0.3 else part.replace(">", ' data-main="0">', 1)
 
+    soup = r.random() < 0.15  # a page of bare divisions, old ones with tables
+
     def navigation() -> str:
+        if soup:
+            cells = [f'<a href="/{word()}">{label()}</a>' for _ in range(r.randint(1, 7))]
+            return other(r.choice(["<div>" + "".join(f"<div>{c}</div>" for c in cells) + "</div>", "<table><tr>" + "".join(f"<td>{c}" for c in cells) + "</tr></table>", f"<div>{' '.join(cells)}</div>"]))
         return other(r.choice([f"<nav><ul>{links(2, 9)}</ul></nav>", f'<div class="{r.choice(["menu", "navbar", "breadcrumb"])}"><ul>{links(2, 8)}</ul></div>', f"<header><p>{some(1, 4)}</p><ul>{links(0, 6)}</ul></header>"]))
 
     def advert() -> str:
@@ -285,13 +291,15 @@ def labelled_page(seed: int) -> str:
         return other(f'<section {r.choice(["id", "class"])}="{r.choice(["comments", "discussion", "replies"])}"><h2>{some(1, 2)}</h2>{said}</section>')
 
     def footer() -> str:
+        if soup and r.random() < 0.7:
+            return navigation() if r.random() < 0.6 else other(f"<div>Copyright {some(1, 4)}</div>")
         return other(r.choice([f"<footer>&copy; {word()} &middot; {prose(1, 2)}</footer>", f"<footer><p>{prose(1, 2)}</p><ul>{links(0, 5)}</ul></footer>", f'<div id="footer">Copyright {word()} {some(2, 9)}</div>']))
 
     parts = []
     for _ in range(r.choice([1, 1, 2, 2, 3, 4, 6, 9, 14])):
         kind = r.random()
         if kind < 0.78:
-            parts.append(f"<p>{prose(1, 7)}</p>" if r.random() < 0.85 else f"<p><b>{prose(1, 5)}<br>")
+            parts.append(f"<div>{prose(1, 5)}</div>" if soup and r.random() < 0.7 else f"<p>{prose(1, 7)}</p>" if r.random() < 0.85 else f"<p><b>{prose(1, 5)}<br>")
         elif kind < 0.86:
             parts.append(f"<h2>{some(1, 6)}</h2>")
         elif kind < 0.92:
@@ -302,10 +310,14 @@ def labelled_page(seed: int) -> str:
             parts.append("<table>" + "".join(f"<tr><td>{word()}<td>{some(1, 4)}" for _ in range(r.randint(1, 4))) + "</table>")
         else:
             parts.append(r.choice([advert, side])())
-    title = f"<h1>{some(1, 12)}</h1>"
+    if r.random() < 0.12:
+        parts.insert(r.randint(0, len(parts)), advert())
+    if r.random() < 0.08:
+        parts.append(comments())
+    title = "" if soup and r.random() < 0.4 else f"<h1>{some(1, 12)}</h1>"
     body = title + "".join(parts)
     shell = r.random()
-    open_, close = ("<article", "</article>") if shell < 0.6 else ("<main", "</main>") if shell < 0.75 else (f'<div class="{r.choice(["content", "post", "entry-content", "story-body"])}"', "</div>") if shell < 0.95 else ("<div", "</div>")
+    open_, close = ("<div", "</div>") if soup and shell < 0.8 else ("<article", "</article>") if shell < 0.6 else ("<main", "</main>") if shell < 0.75 else (f'<div class="{r.choice(["content", "post", "entry-content", "story-body"])}"', "</div>") if shell < 0.95 else ("<div", "</div>")
     main = f'{open_} data-main="1">{body}{close if r.random() < 0.9 else ""}'
     before = [f() for f in (navigation, notice, advert, side, form) if r.random() < (0.9 if f is navigation else 0.3)]
     after = [f() for f in (side, advert, comments, form, notice, footer) if r.random() < (0.9 if f is footer else 0.3)]

@@ -225,6 +225,37 @@ def test_extraction_edges(spark):
     assert out.count() == len(pages) and got[0] == got[1] == got[2] == "" and got[4] == "open" and len(got[6]) == 19 * 20000 - 1
 
 
+#: Pages made by hand: html, texts of the article, texts of the rest. The last two were added after the training pages were settled.
+LAYOUTS = [
+("""<html><body><div id=top><a href=/>Site</a> <a href=/n>News</a> <a href=/s>Sport</a></div><div class=post><h1>How bees find their way</h1><p>Bees use the sun as a compass, and they remember landmarks near the hive.</p><div class=advert><p>Buy our honey today, it is the best honey.</p></div><p>When clouds hide the sun, they read the polarised light of the sky.</p><div class=comments><h3>2 comments</h3><div class=comment><p>Ann</p><p>I never knew that, thank you for this.</p></div></div></div><div class=footer>Copyright 2024 Bee News</div></body></html>""",
+ ["How bees find their way","Bees use the sun as a compass, and they remember landmarks near the hive.","When clouds hide the sun, they read the polarised light of the sky."],
+ ["Buy our honey today, it is the best honey.","I never knew that, thank you for this.","Copyright 2024 Bee News"]),
+("""<div><div><div><a href=a>Home</a></div><div><a href=b>About us</a></div></div><div><div>The bridge over the river was closed on Monday after heavy rain.</div><div>Engineers said that the pillars had moved by two centimetres.</div><div>It will open again in spring, the city said.</div></div><div><div><a href=c>Privacy</a></div><div><a href=d>Terms</a></div></div></div>""",
+ ["The bridge over the river was closed on Monday after heavy rain.","Engineers said that the pillars had moved by two centimetres.","It will open again in spring, the city said."],["Home","About us","Privacy","Terms"]),
+("""<body><nav><a href=x>Start</a><a href=y>Shop</a></nav><main><h1>Results of the race</h1><p>The race was run on Sunday in good weather.</p><table><tr><th>Place<th>Name<tr><td>1<td>Maria Lopez<tr><td>2<td>John Smith</table><p>All runners reached the finish before noon.</p></main><aside><h3>Most read</h3><ul><li><a href=1>Ten shoes for you</a></li></ul></aside><form><label>Email</label><input><button>Subscribe</button></form></body>""",
+ ["Results of the race","The race was run on Sunday in good weather.","Maria Lopez","John Smith","All runners reached the finish before noon."],["Most read","Ten shoes for you","Subscribe"]),
+("""<body><table><tr><td><a href=1>Index</a><td><a href=2>Archive</a></tr></table><center><h2>My old home page</h2><p>Welcome to my page about model trains, which I build in my cellar.<p>The tracks are eleven metres long and cross three bridges.</center><hr><p>Last change: 3 May 1999. <a href=mailto:x>Mail me</a></body>""",
+ ["My old home page","Welcome to my page about model trains, which I build in my cellar.","The tracks are eleven metres long and cross three bridges."],["Index","Archive"]),
+("""<body><header class=site-header><h1>The Daily</h1><nav><ul><li><a href=a>World</a><li><a href=b>Money</a></ul></nav></header><div class=cookie-banner><p>We use cookies.</p><button>Accept</button></div><article><header><h1>Prices fall again</h1><p>By Jane Doe</p></header><p>Prices fell for the third month in a row, the office said.</p><figure><img src=x><figcaption>A market in the old town.</figcaption></figure><blockquote>We had not expected this, said a baker.</blockquote><ul><li>Bread is cheaper by two percent.</li><li>Milk costs the same.</li></ul><aside class=related><h4>Read also</h4><a href=q>Wages rise</a></aside><p>Economists expect a small rise in autumn.</p></article><section id=comments><p>First!</p></section><footer><p>Imprint</p></footer></body>""",
+ ["Prices fall again","Prices fell for the third month in a row, the office said.","We had not expected this, said a baker.","Bread is cheaper by two percent.","Milk costs the same.","Economists expect a small rise in autumn."],["World","We use cookies.","Accept","Wages rise","First!","Imprint"]),
+("""<body><div class="topbar"><span>Log in</span><span>Search</span></div><div class="breadcrumbs"><a href=/>Home</a> / <a href=/g>Garden</a></div><div id="content"><h1>Pruning apple trees</h1><div class="meta">Posted by Tom on 4 March</div><p>Cut in late winter, before the buds open.</p><h2>Tools</h2><ol><li>A sharp saw.</li><li>A pair of loppers.</li></ol><div class="sponsored"><a href=ad>Shears at half price!</a></div><p>Remove dead wood first, then branches that cross.</p><pre>cut above the bud</pre></div><div class="widget"><h3>Newsletter</h3><p>Get tips every week.</p></div><div id="footer"><p>All rights reserved.</p></div></body>""",
+ ["Pruning apple trees","Cut in late winter, before the buds open.","Tools","A sharp saw.","A pair of loppers.","Remove dead wood first, then branches that cross."],["Log in","Home","Shears at half price!","Get tips every week.","All rights reserved."]),
+("""<html><body><section class="hero"><h1>A short history of ice</h1></section><section class="story"><div><p>Ice was cut from lakes and kept in cellars under straw.</p></div><div><p>Ships carried it as far as India, where it was sold by weight.</p><p>Machines that made ice ended the trade.</p></div></section><ul class="menu"><li><a href=1>Next story</a></li><li><a href=2>All stories</a></li></ul><div class="replies"><p>Bob</p><p>My grandfather cut ice on our lake.</p></div></body></html>""",
+ ["A short history of ice","Ice was cut from lakes and kept in cellars under straw.","Ships carried it as far as India, where it was sold by weight.","Machines that made ice ended the trade."],["Next story","All stories","My grandfather cut ice on our lake."]),
+]
+
+
+def test_extraction_on_other_layouts():
+    """Comments and adverts in the article, bare divisions, tables: precision and recall by blocks."""
+    right = missed = wrong = 0
+    for page, main, other in LAYOUTS:
+        text = html_extraction.extract(html_extraction.trained(), [page])[0]["text"]
+        right += sum(x in text for x in main)
+        missed += sum(x not in text for x in main)
+        wrong += sum(x in text for x in other)
+    assert right / (right + missed) >= 0.95 and right / (right + wrong) >= 0.9
+
+
 def _block_texts(page):
     return [b.text for b in html_extraction.leaf_blocks(page)]
 
