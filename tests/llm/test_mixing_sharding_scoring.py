@@ -291,3 +291,25 @@ def test_pipeline_runs(spark, folder):
     rows = out.collect()
     assert rows and set(out.columns) == {*corpus_pipeline.COLUMNS, "shard", "slot"}
     assert {r.doc_id for r in rows} <= set(range(20)) | {200}
+
+
+def test_stages_take_nulls_and_repeats(spark, folder):
+    """Null ids, texts and sources, equal rows, long words, an empty table: every stage gives documents' columns."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    r = random.Random(3)
+    prose_ = " ".join(f"{r.choice('abcdefgh')}{r.randrange(400)}" for _ in range(60)).capitalize() + "."
+    docs = [(None, prose_, None, None, None), (None, None, None, None, None), (1, "", "en", "a", 0), (2, "y" * 100000, "en", "a", 1), (3, prose_, "en", "a", 2), (3, prose_, "en", "a", 2), (4, None, "en", None, None)]
+    for rows in (docs, []):
+        df = spark.createDataFrame(rows, kinds)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, folder)
+            assert tuple(out.columns)[:5] == corpus_pipeline.COLUMNS and (name == "sharding" or len(out.columns) == 5)
+            got = out.collect()
+            if name == "ngram_join" and rows:
+                assert Counter((x.doc_id, x.text) for x in got) == Counter([(None, None), (1, ""), (2, "y" * 100000), (3, prose_), (4, None)])
+            if name == "decontamination":
+                assert len(got) == len(rows)
+            if name == "sharding":
+                assert Counter((x.doc_id, x.text) for x in got) == Counter((x[0], x[1]) for x in rows)
+            if name == "mixing" and rows:
+                assert {x.doc_id for x in got} <= {None, 2, 3} and all(x.text for x in got)
