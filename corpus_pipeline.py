@@ -4,6 +4,9 @@
 (five-word shingles, similarity 0.8). 3 decontamination: documents with a benchmark passage go. 4 mixing: each document
 becomes the words that the mix takes of it, once for each time they are taken; documents that the mix leaves out go.
 5 sharding: every row gets its shard and slot.
+
+Defined cases: rows are judged one by one, whatever their ids: rows without id, or with one that repeats, go through all
+stages like others; equal rows are one from stage 2 on; documents without words go in stage 1; an empty table stays empty.
 """
 
 from __future__ import annotations
