@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The markup that is understood.
 _INLINE = re.compile(r"`(?P<code>[^`]+)`|\*\*(?P<b1>[^*]+)\*\*|__(?P<b2>[^_]+)__|\*(?P<i1>[^*]+)\*|_(?P<i2>[^_]+)_|\[(?P<label>[^\]]+)\]\((?P<href>[^)]+)\)")
 _KINDS = (("fence", re.compile(r"^```(.*)$")), ("heading", re.compile(r"^(#{1,6})\s+(.+)$")), ("bulletList", re.compile(r"^[-*]\s+(.*)$")), ("orderedList", re.compile(r"^\d+\.\s+(.*)$")))
 #: What ends a paragraph; a heading mark alone does, though it begins no heading.

@@ -59,25 +59,33 @@ def _pairs_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(2))))
 
 
-def _piece_heads(text: Column, threshold: float) -> Column:
-    """First letter pairs of the k + 1 pieces of each 32 letters, k edits being allowed."""
+def _pieces(text: Column, threshold: float) -> tuple[Column, Column]:
+    """The edits allowed, and the letters in each of that many pieces and one."""
     n = F.least(F.char_length(text), F.lit(32))
     k = F.floor(n * threshold).cast("int")
-    size = F.greatest(F.floor(n / (k + 1)).cast("int"), F.lit(1))
+    return k, F.greatest(F.floor(n / (k + 1)).cast("int"), F.lit(1))
+
+
+def _piece_heads(text: Column, threshold: float) -> Column:
+    """First letter pairs of the k + 1 pieces of each 32 letters, k edits being allowed."""
+    k, size = _pieces(text, threshold)
     starts = F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.char_length(text) - 1) / 32).cast("int")), lambda c: F.transform(F.sequence(F.lit(0), k), lambda i: F.least(c * 32, F.greatest(F.char_length(text) - 32, F.lit(0))) + i * size + 1)))
     return F.array_distinct(F.transform(starts, lambda s: F.substr(text, s, F.lit(2))))
 
 
 def scored(values: DataFrame, dim: DataFrame, scope: list[str], keys: list[str], o: Options) -> DataFrame:
-    """wanted, scope, id, score: all matches of distinct values. Thresholds above 0.4 leave pieces too short to block by;
-    then all candidates of the value's scope are scored (scope must then bound them)."""
+    """wanted, scope, id, score: all matches of distinct values. Values whose pieces have a single letter, as many have at
+    thresholds of 0.4 and more, can't be blocked by pairs: they are scored with all candidates of their scope (which must
+    then bound them)."""
     low = lambda c: F.lower(F.col(c).cast("string"))
-    if o.threshold <= 0.4:
-        grams = dim.select(*scope, "id", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*[_pairs_of(low(k)) for k in ["name", *keys]]))))).alias("gram"))
-        heads = values.select(*scope, "wanted", F.explode(_piece_heads(F.col("wanted"), o.threshold)).alias("gram"))
-        found = heads.join(grams, [*scope, "gram"]).select(*scope, "wanted", "id").distinct().join(dim.select(*scope, "id", "name", *keys), [*scope, "id"])
-    else:
-        found = values.join(dim.select(*scope, "id", "name", *keys), scope)
+    own = dim.select(*scope, "id", "name", *keys)
+    single = lambda n: n // (int(n * o.threshold) + 1) < 2
+    short = _pieces(F.col("wanted"), o.threshold)[1] < 2
+    heads = values.where(~short).select(*scope, "wanted", F.explode(_piece_heads(F.col("wanted"), o.threshold)).alias("gram"))
+    grams = dim.select(*scope, "id", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*[_pairs_of(low(k)) for k in ["name", *keys]]))))).alias("gram"))
+    found = heads.join(grams, [*scope, "gram"]).select(*scope, "wanted", "id").distinct().join(own, [*scope, "id"])
+    if any(single(n) for n in range(max(1, o.least_run), 33)):
+        found = found.unionByName(values.where(short).select(*scope, "wanted").join(own, scope).select(*found.columns))
     return found.withColumn("score", fuzzy_score("wanted", "name", *keys, options=o)).where("score IS NOT NULL").select(*scope, "wanted", "id", "score")
 
 

@@ -71,6 +71,13 @@ def test_blocking_loses_no_match(spark):
     values = spark.createDataFrame([(a,) for a in asked], "wanted string").withColumn("all", F.lit(1))
     got = {(r.wanted, r.id) for r in lookups.scored(values, dim, ["all"], [], FuzzyOptions()).collect()}
     assert got == {(a, str(i)) for a in asked for i, n in enumerate(names) if item_score(a, [n]) is not None}
+    names += ["abc", "stool", "x"]
+    asked += ["axc", "steel", "a"]
+    dim = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "id string, name string").withColumn("all", F.lit(1))
+    values = spark.createDataFrame([(a,) for a in asked], "wanted string").withColumn("all", F.lit(1))
+    for o in (FuzzyOptions(threshold=0.4, least_run=1), FuzzyOptions(threshold=0.35), FuzzyOptions(threshold=0.8, ignore_place=False, least_run=1)):
+        got = {(r.wanted, r.id) for r in lookups.scored(values, dim, ["all"], [], o).collect()}
+        assert got == {(a, str(i)) for a in asked for i, n in enumerate(names) if item_score(a, [n], o) is not None}
 
 
 def test_levels_and_cycles(spark):
