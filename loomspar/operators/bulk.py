@@ -3,6 +3,8 @@ them, so that a run can be repeated from the last one."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,13 +45,32 @@ def updated(created: Column, failed: Column, errors: Column, new_created: Column
         "succeeded": union_sorted(succeeded, new_succeeded),
         "failed": failed_now,
         "created": over(created, new_created),
-        "errors": over(F.map_filter(errors, lambda k, _: F.array_contains(failed_now, k)), new_errors),
+        "errors": over(_only(errors, failed_now), new_errors),
     }
 
 
 def over(old: Column, new: Column) -> Column:
-    """Union of two maps in which new values win."""
-    return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
+    """Union of two maps in which new values win, by key."""
+    first = lambda all_: F.filter(all_, lambda x, i: (i == 0) | (F.get(all_, i - 1)["k"] != x["k"]))
+    return _mapped(F.concat(_ranked(new, 0), _ranked(old, 1)), first)
+
+
+def _only(entries: Column, keys: Column) -> Column:
+    """A map's entries whose keys are in an array without repeats."""
+    wanted = F.transform(F.coalesce(keys, F.array()), lambda k: F.struct(k.alias("k"), F.lit(0).alias("r"), F.lit(None).alias("v")))
+    after = lambda all_: F.filter(all_, lambda x, i: (x["r"] == 1) & (i > 0) & (F.get(all_, i - 1)["k"] == x["k"]))
+    return _mapped(F.concat(wanted, _ranked(entries, 1)), after)
+
+
+def _ranked(entries: Column, rank: int) -> Column:
+    return F.transform(F.map_entries(entries), lambda e: F.struct(e["key"].alias("k"), F.lit(rank).alias("r"), e["value"].alias("v")))
+
+
+def _mapped(ranked: Column, chosen: Callable[[Column], Column]) -> Column:
+    """The map of what is chosen from sorted entries: looking each key up in another map would read all of that. They are
+    bound as the item of an array, else each place would sort them again."""
+    kept = F.transform(F.array(F.sort_array(ranked)), chosen)[0]
+    return F.map_from_entries(F.transform(kept, lambda x: F.struct(x["k"], x["v"])))
 
 
 def retried(succeeded: Column, failed: Column, new_succeeded: Column, new_failed: Column) -> tuple[Column, Column]:

@@ -57,7 +57,7 @@ def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text(m: F.Column) -> F.Column:
-    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"])), ",")
+    return F.array_join(F.transform(F.sort_array(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"])), ",")
 
 
 def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

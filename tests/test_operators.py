@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,31 @@ def test_interior_failure_shifts_nothing(spark):
     assert rows(bulk.normalise_response(sent, failed, created), "row_index", "key", "error") == [(10, "K0", None), (11, None, "bad"), (12, "K1", None), (13, "K2", None)]
 
 
+MERGES = [
+    ({1: "a", 2: None, 3: "c"}, {2: "B", 9: "z"}, [3, 1, 3, None, 7]), ({}, {1: "x"}, []), ({5: "q"}, {}, [5]), (None, {1: "x"}, [1]), ({1: "x"}, None, [1]), ({1: "x"}, {2: "y"}, None), ({-1: "m", 10: "k"}, {10: None}, [10]),
+]
+
+
+def test_maps_merge_by_key(spark):
+    df = spark.createDataFrame(MERGES, "old map<bigint,string>, new map<bigint,string>, failed array<bigint>")
+    none = F.lit(None).cast("array<bigint>")
+    new = bulk.updated(F.col("old"), F.col("failed"), F.col("old"), F.col("new"), F.col("failed"), F.col("new"), none, none)
+    got = [(r.created, r.errors) for r in df.select(new["created"].alias("created"), new["errors"].alias("errors")).collect()]
+    both = lambda a, b: None if a is None or b is None else {**a, **b}
+    assert got == [(both(o, n), both(o and {k: v for k, v in o.items() if k in (f or [])} if o is not None else None, n)) for o, n, f in MERGES]
+
+
+def test_large_maps_merge_in_line_with_their_size(spark):
+    """Looking up each of 200,000 keys in the other map would compare 2 * 10^10 pairs."""
+    n = 200_000
+    maps = spark.range(1).selectExpr(f"sequence(0L, {n - 1}L) AS k").selectExpr("map_from_arrays(k, transform(k, x -> 'a')) AS old", "map_from_arrays(transform(k, x -> x * 2), transform(k, x -> 'b')) AS new", "transform(k, x -> x * 2 + 1) AS failed")
+    none = F.lit(None).cast("array<bigint>")
+    new = bulk.updated(F.col("old"), F.col("failed"), F.col("old"), F.col("new"), F.col("failed"), F.col("new"), none, none)
+    began = time.monotonic()
+    got = maps.select(F.size(new["created"]).alias("c"), F.size(new["errors"]).alias("e"), F.element_at(new["created"], F.lit(2).cast("bigint")).alias("two"), F.element_at(new["errors"], F.lit(3).cast("bigint")).alias("three")).first()
+    assert tuple(got) == (n + n // 2, n + n // 2, "b", "a") and time.monotonic() - began < 30
+
+
 USERS = [(0, "asmith", "Anna Smith", "anna.smith@x.org", True), (1, "bsmith", "Bert Smith", "bert.smith@x.org", None), (2, "csmith", "Carl Smith", None, True), (3, "dsmith", None, "dora@x.org", False), (4, "nn", "Anna Smith", "other@x.org", True)]
 USER = "pos bigint, username string, display string, email string, active boolean"
 
