@@ -151,6 +151,42 @@ def test_csv_nulls():
     assert readers.parse("", "csv") == []
 
 
+def test_plain_yaml_is_read_by_the_parser_in_c_with_the_same_results():
+    import random
+
+    import yaml
+
+    def read(text, loader):
+        try:
+            return repr(list(yaml.load_all(text, loader)))
+        except (yaml.YAMLError, ValueError) as e:
+            return isinstance(e, yaml.YAMLError)
+
+    bits = ["a", "b: ", ": ", "- ", "-", "\n", "\n", "\n  ", " ", "---\n", "'", '"', '\\"', "text: ", "0x1f", "1_0", "yes", "~", "<<: ", "=", "2024-13-02", ".5", "--- a", "..", "k:\n", "''"]
+    rnd, plain = random.Random(3), 0
+    for _ in range(1500):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14)))
+        base = repair.yaml_base(text)
+        plain += base is not yaml.SafeLoader
+        assert read(text, base) == read(text, yaml.SafeLoader) and read(text, readers._yaml_loader(base)) == read(text, readers._yaml_loader(yaml.SafeLoader)), text
+    assert plain > 1000 or not yaml.__with_libyaml__
+    assert all(repair.yaml_base(t) is yaml.SafeLoader for t in ("a: [1]", "a: &x 1", "a\t: 1", "a: \u00e9", "a: |\n b", "a\n...\nb", "... ", "a: \"\\x41\"", "a # b", "{a: 1}"))
+
+
+def test_texts_of_one_small_file_are_dealt_out(spark):
+    one = spark.range(400).coalesce(1).selectExpr("CAST(id AS string) AS source", "'yaml' AS fmt", "'text: \"a \"' || id || '\" b\"' AS text")
+    out = readers.parse_texts(one)
+    got = {r.source: (r.row_index, r.raw, r.error) for r in out.collect()}
+    assert got == {str(i): (0, json.dumps({"text": f'a "{i}" b'}), None) for i in range(400)}
+    assert "Exchange hashpartitioning(" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_texts_keep_their_own_sources():
+    same = [readers._records(s, "- a: 1\n- a: 2", "yaml", {"blocks": True, "quotes": True, "always": False}) for s in ("x", "y")]
+    assert same == [[(s, 0, '{"a": 1}', None), (s, 1, '{"a": 2}', None)] for s in ("x", "y")]
+    assert readers._records("z", "a: b: c", "yaml", {"blocks": True, "quotes": True, "always": False})[0][3] is not None
+
+
 def test_json_and_yaml():
     assert readers.parse('{"a": "x\ny"}', "json") == [{"a": "x\ny"}]
     assert readers.parse("a: yes\n---\n- b: 2024-01-02\n---\n", "yaml") == [{"a": "yes"}, {"b": "2024-01-02"}]
