@@ -192,7 +192,8 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with their numbers of uses."""
     rows, sources = placed(docs, id_col, text_col, source_col)
     rows = cut(rows)
-    uses = draws(sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
+    # Cut, as a plan with the draws in it is planned again after each of its exchanges, by the driver.
+    uses = cut(draws(sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses")))
     # A row that has words is the only such row at its place in the stream.
     taken = spans(rows).join(uses.hint("merge"), ["rank", "block"]).groupBy("rank", "begin").agg(
         F.sum((F.col("end") - F.col("start")) * F.col("uses")).alias("t"), F.array_sort(F.collect_list(F.struct("start", "end", "uses"))).alias("s")

@@ -286,12 +286,19 @@ def _by_group(fn, rule: Rule):
     return lambda key, table: fn(rule, key, table)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node of the distinct links (a, b), a < b, is a centre or the leaf of one: then all centres are their
+    components' smallest nodes, and a round would change nothing."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("leaf")), F.struct(F.col("b").alias("node"), F.lit(1).alias("leaf")))).alias("e")).select("e.*")
+    roles = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.count(F.lit(1)).alias("n"))
+    return roles.where("leaf > 0 AND n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for all nodes of the links (a, b), by alternating stars."""
     flat = lambda e: e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     current = cut(flat(edges))
-    state = None
-    while True:
+    while not _are_stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
@@ -299,10 +306,6 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")), F.struct(F.col("m").alias("a"), F.col("b").alias("b")))).alias("e")).select("e.a", "e.b")
         current = cut(flat(small))
-        new = tuple(current.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
-        if new == state:
-            break
-        state = new
     return current.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(current.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
 
@@ -438,6 +441,12 @@ def _linked(rule: Rule, key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table
 
 def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Memberships (id, n, mark: null for an empty set), and links (a, b) between marks that connect all that is linked."""
+    members, found, _ = _links(docs, rule, id_col, text_col)
+    return members, found
+
+
+def _links(docs: DataFrame, rule: Rule | None, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """links(), and their components: where large groups needed those of the first links already, they are built on."""
     rule = rule or Rule()
     small_batches(docs.sparkSession)
     # key finds a document's text again; other rows with the same one do no harm.
@@ -459,20 +468,22 @@ def links(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", tex
     spread = lambda rows, n: rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     pivots = spread(large.withColumn("mark", F.explode("pivots")), "strips").select("lead", "cell", "mark")
     found = _match(texts, classes, cells.unionByName(pivots).distinct().withColumn("label", F.col("mark")), rule)
-    if large.isEmpty():
-        return members, found
     labels = components(found)
+    if large.isEmpty():
+        return members, found, labels
     inside = cut(pairs.join(told(large.drop("pivots")), "lead").join(labels.withColumnRenamed("node", "mark"), "mark", "left").withColumn("label", F.coalesce("component", "mark")))
     main = inside.groupBy("lead", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("lead").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
     rest = cut(main.where("all > most").select("lead", "main", F.ceil((F.col("all") - F.col("most")) / STRIP).cast("int").alias("others")))
     if rest.isEmpty():
-        return members, found
+        return members, found, labels
     every = inside.join(told(rest), "lead")
     # A cell is a strip of the members outside the main component and a strip of all members.
     left = spread(every.where("label <> main"), "strips").withColumn("cell", strip("others") * F.col("strips") + F.col("cell"))
     right = spread(every, "others").withColumn("cell", F.col("cell") * F.col("strips") + strip("strips"))
     both = left.unionByName(right).select("lead", F.col("cell").cast("int").alias("cell"), "mark", "label").distinct()
-    return members, cut(found.unionByName(_match(texts, classes, both, rule)).distinct())
+    more = _match(texts, classes, both, rule)
+    stars = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return members, found.unionByName(more).distinct(), components(stars.unionByName(more))
 
 
 def _large(pairs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
@@ -493,17 +504,17 @@ def _match(texts: DataFrame, classes: DataFrame, cells: DataFrame, rule: Rule) -
     return cut(promising.join(sets_, "mark").groupBy("lead", "cell").applyInArrow(_by_group(_linked, rule), "a long, b long").distinct())
 
 
-def _labels(members: DataFrame, found: DataFrame) -> DataFrame:
+def _labels(members: DataFrame, known: DataFrame) -> DataFrame:
     """mark and label (one for all marks that links connect)."""
     marks = members.where("mark IS NOT NULL").select("mark").distinct()
-    return marks.join(components(found).withColumnRenamed("node", "mark"), "mark", "left").select("mark", F.coalesce("component", "mark").alias("label"))
+    return marks.join(known.withColumnRenamed("node", "mark"), "mark", "left").select("mark", F.coalesce("component", "mark").alias("label"))
 
 
 def group(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) for every row of docs."""
-    members, found = links(docs, rule, id_col, text_col)
+    members, _, linked = _links(docs, rule, id_col, text_col)
     reps = members.where("mark IS NOT NULL").groupBy("mark").agg(F.min("id").alias("rep"))
-    labels = reps.join(components(found).withColumnRenamed("node", "mark"), "mark", "left").withColumn("label", F.coalesce("component", "mark"))
+    labels = reps.join(linked.withColumnRenamed("node", "mark"), "mark", "left").withColumn("label", F.coalesce("component", "mark"))
     names = labels.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = labels.join(names, "label").select("mark", "component_id")
     out = members.join(known, "mark", "left")
@@ -519,12 +530,12 @@ def keep_one(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id",
     full = rows.where(has_words)
     # links() passes a row's hashes through as its id, so that its class comes back with the row, not with its id.
     named = full.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(first).alias("h"), F.col(second).alias("g"))
-    members, found = links(named.select(F.col("h").alias("id"), "text"), rule, "id", "text")
+    members, _, linked = _links(named.select(F.col("h").alias("id"), "text"), rule, "id", "text")
     classes = members.where("mark IS NOT NULL").select(F.col("id").alias("h"), "mark").distinct()
     # The least row of each set, then of each group: no join has a key that copies share.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "g")).alias("r")
     of_mark = named.select("id", "h", "g").distinct().join(classes, "h").groupBy("mark").agg(least)
-    of_label = of_mark.join(_labels(members, found), "mark").groupBy("label").agg(F.min("r").alias("r"))
+    of_label = of_mark.join(_labels(members, linked), "mark").groupBy("label").agg(F.min("r").alias("r"))
     leaders = of_label.select(F.col("r.h").alias("leader_h"), F.col("r.g").alias("leader_g"))
     one = full.dropDuplicates([first, second]).join(leaders, (F.col(first) == F.col("leader_h")) & (F.col(second) == F.col("leader_g")), "left_semi")
     return one.unionByName(rows.where(~has_words)).select(*[F.col(f"`{c}`") for c in docs.columns])

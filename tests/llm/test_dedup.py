@@ -116,6 +116,25 @@ def test_ngram_join_cut_into_strips(spark, monkeypatch):
     assert sorted(map(tuple, ngram_join.group(spark.createDataFrame(docs, DOCS)).collect()), key=str) == expected
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Components of chains, rings and random links; links that are stars already take no round, so the driver runs no jobs for it."""
+    rounds, cut = [], ngram_join.cut
+    monkeypatch.setattr(ngram_join, "cut", lambda df: rounds.append(1) or cut(df))
+    r = random.Random(5)
+    links = [(i, i + 1) for i in range(20)] + [(100 + i, 100 + (i + 1) % 7) for i in range(7)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(40)] + [(300, 301), (302, 301), (300, 301)]
+    root = {x: x for e in links for x in e}
+    for a, b in links:
+        least, most = sorted((root[a], root[b]))
+        root = {x: least if y == most else y for x, y in root.items()}
+    loops = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    found = ngram_join.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted((x, y) for x, y in root.items() if x not in loops) and len(rounds) > 1
+    for stars in ([(1, 2), (1, 7), (4, 9)], []):
+        rounds.clear()
+        found = ngram_join.components(spark.createDataFrame(stars, "a long, b long")).collect()
+        assert sorted(map(tuple, found)) == sorted({(x, a) for a, b in stars for x in (a, b)}) and len(rounds) == 1
+
+
 def test_hub_of_near_copies(spark):
     r = random.Random(3)
     base = [f"v{i}" for i in range(120)]

@@ -45,6 +45,12 @@ def reshared(sizes):
             left -= 3 * sizes[s]
 
 
+def test_plan_of_the_mix_has_no_draws(spark):
+    """The driver plans the last joins alone, not again with all the steps of the draws after each exchange."""
+    docs = spark.createDataFrame([(i, f"a b c {i}", str(i % 3)) for i in range(30)], "doc_id long, text string, source string")
+    assert "RepartitionByExpression" not in mixing.taken_words(docs)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_mixing(spark):
     docs = corpus()
     df = spark.createDataFrame(docs, DOCS).withColumn("size", F.lit(1)).withColumn("rank", F.lit(2))
